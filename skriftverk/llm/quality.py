@@ -38,7 +38,7 @@ _FUNCTION = frozenset(w for v in FUNCTION_WORDS.values() for w in v.split())
 _END = re.compile(r"[.!?…。！？।۔።؟]+[\"'”»“’)\]」』]*(?=\s|$|[぀-鿿])|[。！？]|(?<=[Ͱ-Ͽ]);")
 _VOWELS = frozenset("aeiouyåäöéèêëàáâãæøœüúùûíìîïóòôõýě")
 _CODE = re.compile(r"https?://\S+|\b0x[0-9a-fA-F]+|[{}]|\w+\(\w*\)|=>|&&|\|\||;\s*$|\b(?:var|function|return|INFO|WARN|ERROR|DEBUG)\b|\d\d:\d\d:\d\d|</?\w+>|\b\w+=\S+", re.M)
-_NAMES = ["words", "mean_word_length", "function_share", "symbol_ratio", "digit_tokens", "vowel_share", "line_end_share", "words_per_line", "words_per_segment", "delimited_lines", "ends_per_word", "code_share", "long_tokens", "inner_symbols", "other_script", "short_lines", "letter_score", "lines", "bare_symbols", "repeat_share", "capital_items"]
+_NAMES = ["words", "mean_word_length", "function_share", "symbol_ratio", "digit_tokens", "vowel_share", "line_end_share", "words_per_line", "words_per_segment", "delimited_lines", "ends_per_word", "code_share", "long_tokens", "inner_symbols", "other_script", "short_lines", "letter_score", "lines", "bare_symbols", "repeat_share", "capital_items", "broken_words", "foreign_bytes"]
 
 
 
@@ -63,6 +63,9 @@ _INNER = re.compile(r"(?<!\S)\S*?(?:\w[^\w\s,'’.:;/-]\w|\w[;:.,][a-zåäö])\S
 _BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
 _MARKS = frozenset("– - — & | ... … ▪ • » *".split())
 _DIGITS = re.compile(r"(?<!\S)[^\s\d]*\d\S*")
+_BROKEN = re.compile(r"(?<!\S)\S*?[a-zA-ZåäöÅÄÖ](?:[´`~;1:]|[.,'|-](?=\S*[´`~;1:|]))[a-zåäöI]\S*")
+_ENTITY = re.compile(r"&#?\w{2,8};")
+_FOREIGN = re.compile(r"[\x80-\x84\x86-\x9f¡-£¥-¦ª¬\xad¯±-´¶¸-º¼-ÃÆ-ÈÊ-ÕØ-Ûà-ãæ-èê-õø-ûý-ÿŒœŠšŽžŸƒˆ˜‚„†‡‰‹›€™]")
 _LONG = re.compile(r"\S{26,}")
 _LINE = re.compile(r"[\r\n\u2028\u2029\x85]+")
 _SEGMENT = re.compile(r"[\r\n,;|\t•▪»*]+|[.!?…:](?=\s)")
@@ -95,6 +98,7 @@ def statistics(t: str | None) -> list[float]:
         sum(len(s.split()) for s in segs) / len(segs), delim / len(lines), len(_END.findall(t)) / n, sum(map(len, _CODE.findall(t))) / chars, len(_LONG.findall(t)) / k,
         len(_INNER.findall(t)) / k, 1 - min(1.0, latin / max(length - digits, 1)), sum(p <= 5 for p in per_line) / len(lines), good, float(len(lines)),
         sum(x not in _MARKS for x in _BARE.findall(t)) / k, 1 - len(set(lines)) / len(lines), sum(s.strip()[:1].isupper() and len(s) < 40 and len(s.split()) <= 3 for s in segs) / len(segs),
+        len(_BROKEN.findall(_ENTITY.sub("a", t))) / k, len(_FOREIGN.findall(t)) / chars,
     ]
 
 
@@ -104,7 +108,7 @@ P, L, T, J, N = 1, 2, 3, 4, 5  # votes; N: not prose; 0: none
 def votes(s: np.ndarray, known: np.ndarray) -> np.ndarray:
     """(documents, functions) votes from statistics (documents, names); ``known``: -1 other page, 0 none, 1 article or post."""
     c = {name: s[:, i] for i, name in enumerate(_NAMES)}
-    roman = c["other_script"] < 0.5
+    roman = (c["other_script"] < 0.5) & (c["foreign_bytes"] < 0.25)  # else another script, or one that was read wrongly
     w = np.where
     out = [
         w(~roman, P, w(c["function_share"] >= 0.2, P, w(c["function_share"] < 0.07, N, 0))),
@@ -119,7 +123,9 @@ def votes(s: np.ndarray, known: np.ndarray) -> np.ndarray:
         w(roman & (c["letter_score"] < 0.5), J, 0),
         w(roman & (c["code_share"] > 0.15), J, 0),
         w(roman & (c["long_tokens"] > 0.3), J, 0),
-        w(roman & (c["inner_symbols"] > 0.2) & (c["code_share"] < 0.1) & (c["long_tokens"] < 0.1) & (c["words_per_line"] >= 4) & (c["letter_score"] > 0.55) & (c["bare_symbols"] < 0.3) & (c["digit_tokens"] < 0.35), P, 0),
+        w(roman & (c["broken_words"] > 0.12) & (c["code_share"] < 0.1), J, 0),
+        w(roman & (c["broken_words"] > 0.14) & (c["code_share"] < 0.1) & (c["function_share"] < 0.3), J, 0),
+        w(roman & (c["inner_symbols"] > 0.2) & (c["broken_words"] < 0.08) & (c["code_share"] < 0.1) & (c["long_tokens"] < 0.1) & (c["words_per_line"] >= 4) & (c["letter_score"] > 0.55) & (c["bare_symbols"] < 0.3) & (c["digit_tokens"] < 0.35), P, 0),
         w(roman & (c["bare_symbols"] > 0.3), J, 0),
         w(roman & (c["function_share"] < 0.1) & (c["words_per_segment"] < 4.5) & (c["inner_symbols"] < 0.15), L, 0),
         w(known < 0, N, w(known > 0, P, 0)),

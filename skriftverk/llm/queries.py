@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from . import boilerplate, encoding, personal, quality, sentences
 from .history import repeated_records
 from .leakage import leaks
 from .neardup import near_duplicate_groups, near_duplicate_pairs
@@ -18,6 +19,33 @@ Query = Callable[[SparkSession, str], DataFrame]
 SIMILARITY = "0.72"
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled_ids(table(spark, d, "documents"))
+
+
+def p1_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.restored(table(spark, d, "documents"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.boilerplate_lines(table(spark, d, "pages"), boilerplate.fitted(table(spark, d, "gold")))
+
+
+def p2_bodies(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.main_bodies(table(spark, d, "pages"), boilerplate.fitted(table(spark, d, "gold")))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    names = personal.learn_names(docs, table(spark, d, "given_names"))
+    return personal.find_personal(docs, names).select("doc_id", "start_pos", "kind")
+
+
+def p3_masked(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return personal.masked(docs, personal.learn_names(docs, table(spark, d, "given_names")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_pairs(table(spark, d, "documents"), similarity=SIMILARITY)
 
@@ -38,6 +66,18 @@ def p6_stats(spark: SparkSession, d: str) -> DataFrame:
     return repetition_stats(table(spark, d, "documents"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return quality.not_prose(table(spark, d, "documents"))
+
+
+def p7_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_statistics(table(spark, d, "documents"))
+
+
+def p7_types(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_types(table(spark, d, "documents"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"))
 
@@ -52,5 +92,15 @@ def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
     return got.select("doc_id", "item_id", "run", F.round("lcs", 4).alias("lcs"), "answers", "exact")
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """The sample's documents; its ids are unique and far smaller than the texts, so the texts stay where they are if it fits."""
+    docs = table(spark, d, "documents").join(table(spark, d, "sentence_sample").filter("doc_id is not null").distinct(), "doc_id", "left_semi")
+    return sentences.sentence_units(docs).select("doc_id", "start_pos")
+
+
+def p10_units(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentence_units(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
