@@ -13,9 +13,12 @@ DOCUMENT = "id string, text string, metadata struct<url string, document_class s
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = DOCUMENT, glob: str = "*.jsonl*") -> tuple[DataFrame, DataFrame]:
     """(rows with file and modified, malformed lines). gz files are read as such; malformed lines are kept apart, not lost."""
-    raw = spark.read.schema(schema + ", _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", glob).json(path)
-    raw = raw.withColumn("file", F.col("_metadata.file_name")).withColumn("modified", F.col("_metadata.file_modification_time"))
-    return raw.filter("_corrupt is null").drop("_corrupt"), raw.filter("_corrupt is not null").select(F.col("_corrupt").alias("line"), "file")
+    raw = spark.read.option("pathGlobFilter", glob).text(path).filter("trim(value) <> ''")
+    raw = raw.select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("modified"))
+    parsed = raw.withColumn("_r", F.from_json("value", schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    names = [f.name for f in parsed.schema["_r"].dataType.fields if f.name != "_corrupt"]
+    good = parsed.filter("_r._corrupt is null").select(*(F.col(f"_r.`{n}`").alias(n) for n in names), "file", "modified")
+    return good, parsed.filter("_r._corrupt is not null").select(F.col("value").alias("line"), "file")
 
 
 def settled(df: DataFrame, seconds: int = 300, modified: str = "modified") -> DataFrame:
