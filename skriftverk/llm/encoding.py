@@ -143,7 +143,7 @@ def clean_words(t: str) -> set[str]:
     """Words with letters beyond ASCII, and windows of scripts without spaces."""
     if t.isascii():
         return set()
-    out = {w for w in _WORD.findall(t) if len(w) > 1 and not w.isascii()}
+    out = {w for w in _WORD.findall(t) if not w.isascii()}
     for run in _WIDE.findall(t):
         thai = "฀" <= run[0] <= "๿"
         k = 4 if thai else 2
@@ -165,7 +165,7 @@ def suspicious_tokens(t: str) -> set[str]:
                 out.add(core)
             continue
         core = tok.strip(_EDGE)
-        out.update(x for x in {tok, core, *re.split(r"[-/]", core), tok.rstrip(".,:;!?)\"'"), tok.lstrip("(\"'")} if len(x) > 1 and not x.isascii())
+        out.update(x for x in {tok, core, *re.split(r"[-/]", core), tok.rstrip(".,:;!?)\"'"), tok.lstrip("(\"'")} if x and not x.isascii())
     for run in _RUN.findall(t):
         high = sum(c > "\x7f" for c in run)
         if high >= 4 and high * 5 >= len(run) * 2:
@@ -274,7 +274,8 @@ def restore(t: str, fixes: list[tuple[str, str, str]]) -> tuple[str, int]:
         t = re.sub(r"[^\s]*[\x80-\xff‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜™š›œžŸ€Ž][^\s]*", back, t)
     plain = {g: o for g, o, c in fixes if script(o[0]) not in ("WIDE", "THAI")}
     if plain:
-        rx = re.compile("|".join(re.escape(g) for g in sorted(plain, key=len, reverse=True)))
+        edge = rf"[^\s{re.escape(_EDGE)}]"
+        rx = re.compile(rf"(?<!{edge})(?:{'|'.join(re.escape(g) for g in sorted(plain, key=len, reverse=True))})(?!{edge})")
         t, k = rx.subn(lambda m: plain[m.group()], t)
         n += k
 

@@ -108,7 +108,7 @@ def marked_breaks(text: str) -> str:
         soft = len(_EOL.findall(m.group())) < 2 and line and first
         if soft:
             if _ENDS.search(line) and not line.endswith(":"):
-                soft = wrapped and len(line) + 1 + len(first) > width - 2  # ended or an abbreviation: the transducer decides
+                soft = True  # ended or an abbreviation: the transducer decides
             elif wrapped and len(line) + 1 + len(first) > width - 2:
                 soft = True
             else:
