@@ -37,7 +37,7 @@ FUNCTION_WORDS = {
 _FUNCTION = frozenset(w for v in FUNCTION_WORDS.values() for w in v.split())
 _END = re.compile(r"[.!?…。！？।۔።؟]+[\"'”»“’)\]」』]*(?=\s|$|[぀-鿿])|[。！？]|(?<=[Ͱ-Ͽ]);")
 _VOWELS = frozenset("aeiouyåäöéèêëàáâãæøœüúùûíìîïóòôõýě")
-_CODE = re.compile(r"https?://\S+|\b0x[0-9a-fA-F]+|[{}]|\w+\(\w*\)|=>|&&|\|\||;\s*$|\b(?:var|function|return|INFO|WARN|ERROR|DEBUG)\b|\d\d:\d\d:\d\d|</?\w+>|\b\w+=\S+", re.M)
+_CODE = re.compile(r"https?://\S+|\b0x[0-9a-fA-F]+|[{}]|\b\w+\(\w*\)|=>|&&|\|\||;\s*$|\b(?:var|function|return|INFO|WARN|ERROR|DEBUG)\b|\d\d:\d\d:\d\d|</?\w+>|\b\w+=\S+", re.M)
 _NAMES = ["words", "mean_word_length", "function_share", "symbol_ratio", "digit_tokens", "vowel_share", "line_end_share", "words_per_line", "words_per_segment", "delimited_lines", "ends_per_word", "code_share", "long_tokens", "inner_symbols", "other_script", "short_lines", "letter_score", "lines", "bare_symbols", "repeat_share", "capital_items", "broken_words", "foreign_bytes"]
 
 
