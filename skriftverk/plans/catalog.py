@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import ARTICLE_WORDS, DISCUSSION_WORDS, FOREIGN, LANGUAGE_WORDS, LINE_END, OTHER_FILES, REPETITION_LIMITS, SWEDISH_STOP_WORDS, WS
-from ..functions.text import SPACES, count_class, is_upper, lines, percent, ratio, safe_name, strip, tokens
+from ..functions.text import SPACES, count_class, is_upper, lines, safe_name, strip, tokens
 from ..operators import dedup, evaluate, html, minhash, pii
 from ..operators.classify import discussion_score, document_class
 from ..operators.filters import id_contains, is_html_page, long_enough, normal_id, not_empty, quality_measures, quality_reason, text_of, valid_utf8
@@ -457,9 +457,9 @@ def ever_discarded(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select experiment, count(*) as n, count(distinct id) as ids, printf('%.1f%%', 100.0 * count(distinct id) / (select count(*) from pages)) as share from discards group by 1")
 def discard_rates(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages").agg(F.count("*").alias("pages"))  # one row
+    pages = table(spark, d, "pages").count()
     r = table(spark, d, "discards").groupBy("experiment").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
-    return r.join(F.broadcast(pages)).select("experiment", "n", "ids", evaluate.percent_label(F.col("ids") / F.col("pages")).alias("share"))
+    return r.select("experiment", "n", "ids", evaluate.percent_label(F.col("ids") / F.lit(max(pages, 1))).alias("share"))
 
 
 @query("select id, url, reason, text_snippet from (select id, url, 'empty' as reason, '[no text]' as text_snippet from pages where coalesce(text, '') = '')")
