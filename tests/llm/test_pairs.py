@@ -119,7 +119,7 @@ def test_leaks(spark):
         leaks(df, it, max_words=10)
     q = words(items[0][1])
     para = " ".join(x for i, x in enumerate(q) if i % 10)
-    p = leaks(spark.createDataFrame([(1, para)], "doc_id long, text string"), it, cosine=0.8, known=6, paraphrases=True).filter("not exact").collect()
+    p = leaks(spark.createDataFrame([(1, para)], "doc_id long, text string"), it, cosine=0.8, known=6, paraphrases=True, bits=8, tables=6).filter("not exact").collect()
     assert {r["item_id"] for r in p} == {1, 7} and all(r["lcs"] > 0.85 for r in p)
 
 
