@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import materialize, spread
 from .common import chunks, words
 
 TYPES = ("prose", "list", "table", "junk")
@@ -188,6 +188,7 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def text_types(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str = "document_class", least_words: int = 5) -> DataFrame:
     """(id, type, prose probability) of the documents of ``least_words`` words or more."""
     stats = text_statistics(df, id_col, text_col, class_col).filter(F.col("words") >= least_words)
+    stats = materialize(stats.select(id_col, "votes"), "votes")  # the texts are read once
     counted = stats.groupBy("votes").count().collect()  # vote patterns: bounded by the labelling functions, not by the data
     if not counted:
         return stats.select(id_col, F.lit("prose").alias("type"), F.lit(1.0).alias("prose"))
@@ -200,7 +201,7 @@ def text_types(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cl
                 p = posterior(np.array([[int(x) for x in v] for v in b.column(1).to_pylist()]), prior, acc)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([TYPES[i] for i in p.argmax(axis=1)]), pa.array(p[:, 0])], names=[id_col, "type", "prose"])
 
-    return stats.select(id_col, "votes").mapInArrow(run, f"`{id_col}` {dict(df.dtypes)[id_col]}, type string, prose double")
+    return stats.mapInArrow(run, f"`{id_col}` {dict(df.dtypes)[id_col]}, type string, prose double")
 
 
 def not_prose(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str = "document_class", least_words: int = 5) -> DataFrame:
