@@ -310,7 +310,9 @@ class Chain:
         counts = np.fromiter(map(len, flat), np.int64, len(flat))
         idx = np.fromiter((x for f in flat for x in f), np.int64, int(counts.sum()))
         rowof = np.repeat(np.arange(len(flat)), counts)
-        used, inv = np.unique(idx, return_inverse=True)
+        by_feature = np.argsort(idx, kind="stable")
+        used, groups = np.unique(idx[by_feature], return_index=True)
+        rows_sorted = rowof[by_feature]
         s = len(STATES)
         y = np.concatenate(labels)
         hot = np.eye(s)[y]
@@ -350,9 +352,7 @@ class Chain:
                 both += q[mask[:, t]].sum(axis=0)
             err = marg - hot
             gw = np.zeros_like(self.w)
-            g = np.zeros((len(used), s))
-            np.add.at(g, inv, err[rowof])
-            gw[used] = g + l2 * (self.w[used] - self.mean[used])
+            gw[used] = np.add.reduceat(err[rows_sorted], groups, axis=0) + l2 * (self.w[used] - self.mean[used])
             grads = [gw, np.where(self.fixed, 0, both - pair), err[starts].sum(axis=0), err[ends].sum(axis=0)]
             for p, gr, (m1, m2) in zip(params, grads, mom):
                 m1 *= 0.9
