@@ -11,6 +11,7 @@ Documents of fewer than five words, null and blank ones have statistics but no t
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,73 +69,113 @@ _ENTITY = re.compile(r"&#?\w{2,8};")
 _FOREIGN = re.compile(r"[\x80-\x84\x86-\x9f¡-£¥-¦ª¬\xad¯±-´¶¸-º¼-ÃÆ-ÈÊ-ÕØ-Ûà-ãæ-èê-õø-ûý-ÿŒœŠšŽžŸƒˆ˜‚„†‡‰‹›€™]")
 _LONG = re.compile(r"\S{26,}")
 _LINE = re.compile(r"[\r\n\u2028\u2029\x85]+")
+_BREAK = re.compile(r"[\r\n]+")  # of texts that were read wrongly, in which \x85 is a byte of a letter
 _SEGMENT = re.compile(r"[\r\n,;|\t•▪»*]+|[.!?…:](?=\s)")
 _DELIMITER = re.compile(r"[|;\t]|\s{3,}")
 _TWO_NUMBERS = re.compile(r"\d\S*\s.*\d")
 
 
+def _marks() -> re.Pattern[str]:
+    """Combining marks, which many scripts have inside words."""
+    at = [c for c in range(0x300, 0x10000) if unicodedata.category(chr(c))[0] == "M"]
+    first = [c for c, before in zip(at, [0, *at]) if c != before + 1]
+    last = [c for c, after in zip(at, [*at[1:], 0]) if c != after - 1]
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(z)}" for a, z in zip(first, last)) + "]+")
+
+
+_MARK = _marks()
+_IDEOGRAPHS, _LINKED = "\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_PAIR = re.compile(f"[{_IDEOGRAPHS}]{{2}}(?=[{_IDEOGRAPHS}])|[{_LINKED}]{{4}}(?=[{_LINKED}])|[{_IDEOGRAPHS}{_LINKED}](?=[0-9A-Za-z])|[0-9A-Za-z](?=[{_IDEOGRAPHS}{_LINKED}])")
+_STOP = re.compile(r"([。！？।॥۔؟።])([\"'”»“’)\]」』】》]*)")
+_STOPS = dict(zip("。！？।॥۔؟።", ".!?...?."))
+_FULL = {i: i - 0xFEE0 for i in range(0xFF01, 0xFF5F)} | {ord(x): y for x, y in zip("、،؛፣፤「『【《〈（」』】》〉）", [", ", ", ", "; ", ", ", "; "] + [' "'] * 6 + ['" '] * 6)} | {ord(x): x2 for x, x2 in zip("，；：", (", ", "; ", ": "))} | {0x30FB: " "}
+
+
+def like_latin(t: str) -> str:
+    """The text for statistics of its structure: without combining marks, scripts without spaces in pieces of about a word
+    (two characters, four in Thai and its relatives), punctuation as Latin script has it."""
+    t = _STOP.sub(lambda m: _STOPS[m[1]] + m[2].translate(_FULL).rstrip() + " ", t).translate(_FULL)
+    return _PAIR.sub(r"\g<0> ", _MARK.sub("", t))
+
+
 def statistics(t: str | None) -> list[float]:
     if not t or t.isspace():
         return [0.0] * len(_NAMES)
     ws = words(t)
-    n = max(len(ws), 1)
-    k = max(len(t.split()), 1)
-    chars = sum(map(len, t.split())) or 1
     length = sum(map(len, ws))
     code = np.minimum(np.frombuffer(t.lower().encode("utf-32-le", "replace"), np.uint32), 0x250)
     letter = _IS_LETTER[code]
     latin = int(letter.sum())
-    digits = sum(map(str.isdigit, "".join(w for w in ws if not w.isalpha())))
+    letters = length - sum(not c.isalpha() for w in ws if not w.isalpha() for c in w)
+    other = 1 - min(1.0, latin / letters) if letters else 0.0
+    count, own = len(ws), ws
+    if other >= 0.5:
+        t = like_latin(t)
+        own = words(t)
+        length = sum(map(len, own))
+    n = max(len(own), 1)
+    k = max(len(t.split()), 1)
+    chars = sum(map(len, t.split())) or 1
     both = letter[:-1] & letter[1:]
     pairs = int(both.sum()) if latin > 20 else 0
     good = float(_IS_PAIR[code[:-1][both], code[1:][both]].mean()) if pairs else 1.0
-    lines = [x for x in _LINE.split(t) if x.strip()] or [""]
+    foreign = len(_FOREIGN.findall(t)) / chars
+    lines = [x for x in (_LINE if foreign < 0.25 else _BREAK).split(t) if x.strip()] or [""]
     per_line = sorted(len(x.split()) for x in lines)
     segs = [s for s in _SEGMENT.split(t) if s.strip()] or [""]
     delim = sum(len(_DELIMITER.findall(x.strip())) >= 2 or (len(x) < 120 and len(x.split()) <= 8 and bool(_TWO_NUMBERS.search(x))) for x in lines)
     return [
-        float(len(ws)), length / n, sum(map(_FUNCTION.__contains__, ws)) / n, 1 - length / chars, len(_DIGITS.findall(t)) / k,
+        float(count), sum(map(len, ws)) / max(count, 1), sum(map(_FUNCTION.__contains__, ws)) / max(count, 1), 1 - length / chars, len(_DIGITS.findall(t)) / k,
         int(_IS_VOWEL[code].sum()) / max(latin, 1), sum(bool(_CLOSED.search(x[-12:])) for x in lines) / len(lines), float(per_line[len(lines) // 2]),
         sum(len(s.split()) for s in segs) / len(segs), delim / len(lines), len(_END.findall(t)) / n, sum(map(len, _CODE.findall(t))) / chars, len(_LONG.findall(t)) / k,
-        len(_INNER.findall(t)) / k, 1 - min(1.0, latin / max(length - digits, 1)), sum(p <= 5 for p in per_line) / len(lines), good, float(len(lines)),
+        len(_INNER.findall(t)) / k, other, sum(p <= 5 for p in per_line) / len(lines), good, float(len(lines)),
         sum(x not in _MARKS for x in _BARE.findall(t)) / k, 1 - len(set(lines)) / len(lines), sum(s.strip()[:1].isupper() and len(s) < 40 and len(s.split()) <= 3 for s in segs) / len(segs),
-        len(_BROKEN.findall(_ENTITY.sub("a", t))) / k, len(_FOREIGN.findall(t)) / chars,
+        len(_BROKEN.findall(_ENTITY.sub("a", t))) / k, foreign,
     ]
 
 
-P, L, T, J, N = 1, 2, 3, 4, 5  # votes; N: not prose; 0: none
+P, L, T, J, N, OFF = 1, 2, 3, 4, 5, 6  # votes; N: not prose; 0: none; OFF: the function cannot judge such a text, which is no evidence
+_OF_LATIN, _OF_WORDS = [0, 1, 8, 9, 12, 13, 14], [0, 1, 2, 3, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16]  # functions by what they need
 
 
 def votes(s: np.ndarray, known: np.ndarray) -> np.ndarray:
     """(documents, functions) votes from statistics (documents, names); ``known``: -1 other page, 0 none, 1 article or post."""
     c = {name: s[:, i] for i, name in enumerate(_NAMES)}
-    roman = (c["other_script"] < 0.5) & (c["foreign_bytes"] < 0.25)  # else another script, or one that was read wrongly
+    right = c["foreign_bytes"] < 0.25  # else read wrongly: lines and delimiters are as they were, words and marks are not
+    roman = right & (c["other_script"] < 0.5)  # else another script: no function words, vowels and letter pairs
+    other = right & ~roman
     w = np.where
+    short = (c["lines"] >= 5) & (c["short_lines"] > 0.8)
+    delimited = (c["delimited_lines"] > 0.6) & (c["lines"] >= 3) & (~roman | (c["function_share"] < 0.12))
+    flowing = ~right & ~short & ~delimited
     out = [
-        w(~roman, P, w(c["function_share"] >= 0.2, P, w(c["function_share"] < 0.07, N, 0))),
-        w(~roman, w(c["digit_tokens"] < 0.7, P, 0), w(c["function_share"] >= 0.12, P, w(c["inner_symbols"] < 0.15, N, 0))),
-        w(~roman, P, w((c["ends_per_word"] > 1 / 45) & (c["ends_per_word"] < 1 / 3), P, w((c["ends_per_word"] == 0) & (c["words"] > 12), N, 0))),
-        w(~roman | (c["words_per_segment"] >= 5.5), P, w(c["words_per_segment"] < 3.2, L, 0)),
-        w(roman & (c["lines"] >= 5) & (c["short_lines"] > 0.8), w(c["digit_tokens"] > 0.4, T, L), w(~roman | (c["words_per_line"] >= 9), P, 0)),
-        w(roman & (c["delimited_lines"] > 0.6) & (c["lines"] >= 3) & (c["function_share"] < 0.12), T, 0),
-        w(roman & (c["digit_tokens"] > 0.42), T, 0),
-        w(roman & (c["symbol_ratio"] > 0.3), J, w(~roman | (c["symbol_ratio"] < 0.07) & (c["digit_tokens"] < 0.1), P, 0)),
+        w(flowing | roman & (c["function_share"] >= 0.2), P, w(roman & (c["function_share"] < 0.07), N, 0)),
+        w(flowing & (c["digit_tokens"] < 0.7) | roman & (c["function_share"] >= 0.12), P, w(roman & (c["inner_symbols"] < 0.15), N, 0)),
+        w(flowing | right & (c["ends_per_word"] > 1 / 45) & (c["ends_per_word"] < 1 / 3), P, w(right & (c["ends_per_word"] == 0) & (c["words"] > 12), N, 0)),
+        w(flowing | right & (c["words_per_segment"] >= 5.5), P, w(right & (c["words_per_segment"] < 3.2), L, 0)),
+        w(short, w((c["digit_tokens"] > 0.4) | ~roman & delimited, T, L), w(flowing | (c["words_per_line"] >= 9), P, 0)),
+        w(delimited, T, 0),
+        w(right & (c["digit_tokens"] > 0.42), T, 0),
+        w(right & (c["symbol_ratio"] > 0.3), J, w(flowing | right & (c["symbol_ratio"] < 0.07) & (c["digit_tokens"] < 0.1), P, 0)),
         w(roman & ((c["vowel_share"] < 0.27) | (c["vowel_share"] > 0.62)) & (c["letter_score"] < 0.65), J, 0),
         w(roman & (c["letter_score"] < 0.5), J, 0),
-        w(roman & (c["code_share"] > 0.15), J, 0),
-        w(roman & (c["long_tokens"] > 0.3), J, 0),
+        w(right & (c["code_share"] > 0.15), J, 0),
+        w(right & (c["long_tokens"] > 0.3), J, 0),
         w(roman & (c["broken_words"] > 0.12) & (c["code_share"] < 0.1), J, 0),
         w(roman & (c["broken_words"] > 0.14) & (c["code_share"] < 0.1) & (c["function_share"] < 0.3), J, 0),
         w(roman & (c["inner_symbols"] > 0.2) & (c["broken_words"] < 0.08) & (c["code_share"] < 0.1) & (c["long_tokens"] < 0.1) & (c["words_per_line"] >= 4) & (c["letter_score"] > 0.55) & (c["bare_symbols"] < 0.3) & (c["digit_tokens"] < 0.35), P, 0),
-        w(roman & (c["bare_symbols"] > 0.3), J, 0),
-        w(roman & (c["function_share"] < 0.1) & (c["words_per_segment"] < 4.5) & (c["inner_symbols"] < 0.15), L, 0),
+        w(right & (c["bare_symbols"] > 0.3), J, w(other & (c["repeat_share"] > 0.6) & (c["lines"] >= 5), J, 0)),
+        w((roman & (c["function_share"] < 0.1) | other & (c["ends_per_word"] < 1 / 45)) & (c["words_per_segment"] < 4.5) & (c["inner_symbols"] < 0.15), L, 0),
         w(known < 0, N, w(known > 0, P, 0)),
     ]
-    return np.stack(out, axis=1).astype(np.int8)
+    v = np.stack(out, axis=1).astype(np.int8)
+    v[np.ix_(other, _OF_LATIN)] = OFF
+    v[np.ix_(~right & ~flowing, _OF_WORDS)] = OFF
+    return v
 
 
 def likelihood(acc: np.ndarray) -> np.ndarray:
-    return np.log(np.clip(acc, 1e-6, 1))
+    return np.c_[np.log(np.clip(acc, 1e-6, 1)), np.zeros(len(acc))]  # by vote; OFF says nothing
 
 
 def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +190,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.
     start = acc.copy()
     prior = np.array([0.85, 0.05, 0.05, 0.05])
     for _ in range(rounds):
-        logp = np.log(prior) + sum(likelihood(acc[j][:, patterns[:, j]]).T for j in range(f))
+        logp = np.log(prior) + sum(likelihood(acc[j])[:, patterns[:, j]].T for j in range(f))
         logp -= logp.max(axis=1, keepdims=True)
         q = np.exp(logp)
         q *= (counts / q.sum(axis=1))[:, None]
@@ -162,7 +203,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.
 
 
 def posterior(patterns: np.ndarray, prior: np.ndarray, acc: np.ndarray) -> np.ndarray:
-    logp = np.log(prior) + sum(likelihood(acc[j][:, patterns[:, j]]).T for j in range(patterns.shape[1]))
+    logp = np.log(prior) + sum(likelihood(acc[j])[:, patterns[:, j]].T for j in range(patterns.shape[1]))
     q = np.exp(logp - logp.max(axis=1, keepdims=True))
     return q / q.sum(axis=1, keepdims=True)
 

@@ -223,3 +223,34 @@ def test_main_body_held_out(spark):
 def test_chain_gradient_fits():
     m = boilerplate.Chain().fit([[[1], [2], [1]], [[1], [2], [2]]], [np.array([0, 1, 3]), np.array([0, 1, 1])], 80)
     assert [list(y) for y in m.viterbi([[[1], [2], [1]], [[2]]])][0] == [0, 1, 3]
+
+
+# --- 7: other scripts --------------------------------------------------------------------------------------------------
+def test_types_of_other_scripts(spark):
+    rng = random.Random(4)
+    some = {"ru": "комиссия библиотека мельница доски ящики мука", "zh": "图书馆 黑麦粉 旧地图 委员会 铜屋顶", "hi": "पुस्तकालय पुराना नक्शा लकड़ी घड़ी", "th": "แผนที่ กล่องไม้ นาฬิกา คณะกรรมการ", "ar": "المكتبة الخريطة الصندوق الساعة", "el": "μουσείο χάρτες κιβώτια φούρνος"}
+    rows, want = [], {}
+
+    def add(text, kind, cls="unknown"):
+        want[len(rows)] = kind
+        rows.append((len(rows), text, cls))
+
+    for _ in range(100):
+        add("Hon köpte en båt i hamnen när det var kväll, och det vet alla som bor där. " * 5, "prose", "article")
+    for lang, ws in some.items():
+        w = lambda ws=ws.split(): rng.choice(ws)
+        gap, comma, stop = ("", "，", "。") if lang == "zh" else (" ", ", ", " " if lang == "th" else "। " if lang == "hi" else ". ")
+        for cls in ("article", None):
+            add("".join(gap.join(w() for _ in range(7)) + comma + gap.join(w() for _ in range(6)) + stop for _ in range(8)), "prose", cls)
+        lines = "\n".join(w() for _ in range(14))
+        cells = "\n".join(f"{w()};{w()};{rng.randint(1, 999)};{rng.randint(1, 99)}.5;1" for _ in range(10))
+        add(lines, "list")
+        add(cells, "table")
+        add(lines.encode().decode("latin_1"), "list")
+        add(cells.encode().decode("latin_1"), "table")
+        add(("、" if lang == "zh" else ", ").join(w() for _ in range(60)), "list")
+    add("\n".join(" ".join(str(rng.randint(1, 99999)) for _ in range(6)) for _ in range(10)), "table")
+    df = spark.createDataFrame(rows, "doc_id long, text string, document_class string")
+    got = {r["doc_id"]: r["type"] for r in quality.text_types(df).collect()}
+    assert got == want
+    assert quality.statistics("12 345 6 78 90")[quality._NAMES.index("other_script")] == 0
