@@ -242,6 +242,8 @@ _FIRM = re.compile(r"[ \xa0]*(?:&|AB\b|HB\b|KB\b|i[ \xa0]\w+[ \xa0]AB|och Söner
 _OF_FIRM = re.compile(r"(?:&|Bolaget|Firma|AB|Stiftelsen|Restaurang|Hotell|Galleri|Byggnads AB)[ \xa0]$", re.I)
 
 
+#: Before a surname without a given name; such a use speaks neither for nor against it.
+_BY_NAME = re.compile(r"\b(?:hr|herr|fru|fröken|dr|prof|mr|mrs|ms|miss|frau|familjen|[a-zåäö])\b\.?\s+$", re.I)
 _NEXT = re.compile(rf"[ \xa0]+(?P<g>{_NAME_WORD})")
 _RUNS = re.compile(r"[^\W\d_]+")
 
@@ -296,7 +298,10 @@ def spans(t: str | None, names: Names) -> list[tuple[int, int, str]]:
 
 
 def learn_names(docs: DataFrame, given: DataFrame, name_col: str = "name", text_col: str = "text", least: int = 2, max_lexicon: int = 2_000_000) -> Names:
-    """The lexicon of a corpus, from listed given names (a bounded table; more than ``max_lexicon`` rows raise an error)."""
+    """The lexicon of a corpus, from listed given names (a bounded table; more than ``max_lexicon`` rows raise an error).
+
+    A word counts as a name if at least a fifth of its uses in the whole corpus, ``least`` or more, are those of one.
+    """
 
     def bounded(df: DataFrame) -> list:
         rows = df.limit(max_lexicon + 1).collect()
@@ -310,21 +315,37 @@ def learn_names(docs: DataFrame, given: DataFrame, name_col: str = "name", text_
     def count(of) -> dict[str, tuple[int, int]]:
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hits, others = Counter(), Counter()
+
+            def counted() -> pa.RecordBatch:
+                ws = list(hits | others)  # a word without a hit here may have some in other tasks
+                out = [pa.array(ws, pa.string()), pa.array([hits[w] for w in ws], pa.int64()), pa.array([others[w] for w in ws], pa.int64())]
+                hits.clear()
+                others.clear()
+                return pa.RecordBatch.from_arrays(out, names=["w", "h", "o"])
+
             for b in chunks(it, "t"):
                 for t in b.column(0).to_pylist():
                     of(t, hits, others)
-            ws = list(hits)
-            yield pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array([hits[w] for w in ws], pa.int64()), pa.array([others[w] for w in ws], pa.int64())], names=["w", "h", "o"])
+                if len(hits) + len(others) > 200_000:
+                    yield counted()
+            yield counted()
 
-        got = src.mapInArrow(run, "w string, h long, o long").groupBy("w").agg(F.sum("h").alias("h"), F.sum("o").alias("o")).filter(F.col("h") >= least)
-        return {w: (h, o) for w, h, o in bounded(got)}
+        got = src.mapInArrow(run, "w string, h long, o long").groupBy("w").agg(F.sum("h").alias("h"), F.sum("o").alias("o"))
+        return {w: (h, o) for w, h, o in bounded(got.filter((F.col("h") >= least) & (F.col("h") * 4 >= F.col("o"))))}
 
     def surnames(t: str, hits: Counter, others: Counter) -> None:
+        at = -1
         for m in _TOKENS.finditer(t):
-            if m["w"].lower() in listed and m["w"][0].isupper():
+            w = m["w"].lower()
+            if not m["w"][0].isupper():
+                continue
+            if w in listed:
                 a = _AFTER_GIVEN.match(t, m.end())
                 if a and a["s"][0].isupper() and len(a["s"]) > 3 and a["s"].lower() not in listed:
                     hits[a["s"].lower()] += 1
+                    at = a.start("s")
+            elif len(w) > 3 and m.start() != at and not _BY_NAME.search(t, max(0, m.start() - 20), m.start()):
+                others[w] += 1
 
     found = {s.rpartition("-")[2] for s in count(surnames)}
     rough = Names(listed, found)
@@ -339,7 +360,7 @@ def learn_names(docs: DataFrame, given: DataFrame, name_col: str = "name", text_
                 else:
                     others[w.lower()] += 1
 
-    more = {w for w, (h, o) in count(givens).items() if h * 4 >= o and w not in TITLES and not rough.is_surname(w)}
+    more = {w for w in count(givens) if w not in TITLES and not rough.is_surname(w)}
     return Names(listed | more, found)
 
 
