@@ -3,8 +3,10 @@
 1. Every distinct word of the corpus that has letters beyond ASCII is written in each encoding of its script and read in
    each wrong one (also twice). Scripts without spaces have windows of two characters instead of words, as written in
    their multi-byte encodings. This gives a table of garbled forms and originals.
-2. The distinct suspicious tokens of the documents are hash-joined against the table. A match is verified if the original
-   stands in at least as many documents as the garbled token does.
+2. The distinct suspicious tokens of the documents are hash-joined against the table. A match is verified if the token cannot be
+   a word itself (signs inside, mixed scripts or case, runs of accented letters), however frequent it is, or else if the
+   original stands in at least as many distinct texts as the token does, or a verified word of the same chain in the document.
+   Of two originals the more frequent one counts.
 3. A document is affected if a verified form of a word of three letters or more is in it (two different ones for the seven-bit
    encoding, whose letters are brackets in code, and half of all words with brackets; three windows for scripts without spaces), or a garbled form of
    punctuation, a replacement character beside a letter, or control characters of the range 80-9F.
@@ -120,6 +122,26 @@ def garbled_forms(w: str) -> Iterator[tuple[str, str]]:
             yield g, "seven_bit"
 
 
+_SHAPE = re.compile(r"[a-zß-öø-ÿа-яёα-ωά-ώ][A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω]")
+_ACCENTED = re.compile(r"[À-ÖØ-öø-ɏ]{3}")
+
+
+def no_word(g: str) -> bool:
+    """Whether a token cannot be a word: case or scripts change inside it, or accented letters stand side by side."""
+    return bool(_SHAPE.search(g) or _ACCENTED.search(g)) or len({script(c) for c in g if c.isalpha()}) > 1
+
+
+def certainty(g: str, original: str) -> int:
+    """Whether ``g`` is a garbled form of ``original``: 2 for sure, 1 if the original is more frequent, 0 if it is rather the other way."""
+    if g.isascii():  # of the seven-bit encoding
+        return 1 + (len(g) > 3)
+    signs = any(not c.isalpha() and not unicodedata.combining(c) for c in g)
+    if script(original[0]) in ("WIDE", "THAI"):
+        return 1 + signs
+    odd = signs or no_word(g)
+    return int(odd) if no_word(original) else 1 + odd
+
+
 @lru_cache(maxsize=1)
 def punctuation_forms() -> re.Pattern[str]:
     """Garbled punctuation of three characters or more, or two that no text has side by side."""
@@ -198,15 +220,17 @@ def garbled_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 c = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["w", "n"])
 
-    words_ = src.mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    once = src.groupBy(F.xxhash64("t").alias("h")).agg(F.first("t").alias("t")).selectExpr("h as i", "t")  # copies count once
+    words_ = once.mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
     def forms(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            rows = [(g, w, n, c) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for g, c in garbled_forms(w)]
-            cols = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())], names=["token", "original", "n", "chain"])
+            rows = [(g, w, n, c, k > 1) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for g, c in garbled_forms(w) if (k := certainty(g, w))]
+            cols = list(zip(*rows)) or [(), (), (), (), ()]
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["token", "original", "n", "chain", "sure"])
 
-    table = words_.mapInArrow(forms, "token string, original string, n long, chain string")
+    table = words_.mapInArrow(forms, "token string, original string, n long, chain string, sure boolean")
 
     def look(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(it, "t"):
@@ -215,13 +239,17 @@ def garbled_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 s = suspicious_tokens(t)
                 row += [i] * len(s)
                 tok += s
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(tok, pa.string())], names=["i", "token"])
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(2).take(at), pa.array(tok, pa.string())], names=["i", "h", "token"])
 
-    tokens = materialize(src.mapInArrow(look, f"i {kind}, token string"), "tokens")
-    seen = tokens.groupBy("token").agg(F.count("*").alias("seen"))
-    best = table.join(seen, "token").filter("n >= seen").groupBy("token").agg(F.max_by(F.struct("original", "chain"), "n").alias("o"))
+    tokens = materialize(src.withColumn("h", F.xxhash64("t")).mapInArrow(look, f"i {kind}, h long, token string"), "tokens")
+    seen = tokens.select("token", "h").distinct().groupBy("token").agg(F.count("*").alias("seen"))
+    best = table.join(seen, "token").withColumn("ok", F.expr("sure or n >= seen")).groupBy("token").agg(F.max_by(F.struct("original", "chain", "ok"), F.struct("ok", "n")).alias("o"))
     best = materialize(best.select("token", "o.*"), "verified")
-    hits = tokens.join(best, "token").groupBy("i").agg(F.collect_list(F.struct("token", "original", "chain")).alias("fixes"))
+    hits = tokens.drop("h").join(best, "token").groupBy("i").agg(F.collect_list(F.struct("token", "original", "chain", "ok")).alias("fixes"))
+    # a match that is not verified by itself holds beside a verified word of the same chain
+    held = "filter(fixes, x -> x.ok or exists(fixes, y -> y.ok and y.chain = x.chain and length(y.original) > 2))"
+    hits = hits.select("i", F.expr(f"transform({held}, x -> named_struct('token', x.token, 'original', x.original, 'chain', x.chain))").alias("fixes")).filter("size(fixes) > 0")
 
     def mark(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(it, "t"):
