@@ -44,7 +44,8 @@ def unseen(df: DataFrame, seen: DataFrame, text: str = "text", order: list[str]
 
 
 class BloomSketch:
-    """An approximate set of keys. False positives at about ``rate`` once ``capacity`` keys are in; the exact way is ``unseen``."""
+    """An approximate set of keys. False positives at about ``rate`` once ``capacity`` keys are in, and more beyond that; ``missing`` with
+    the keys themselves is exact, whatever the sketch holds."""
 
     def __init__(self, capacity: int = 15_000_000, rate: float = 0.001):
         self.bits = max(64, math.ceil(-capacity * math.log(rate) / math.log(2) ** 2))
@@ -78,14 +79,21 @@ class BloomSketch:
             self.data[w] |= b
         return self
 
-    def missing(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows whose key is surely not in the sketch, and the few that are taken for members wrongly are left out."""
+    def missing(self, df: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
+        """Rows whose key is surely not in the sketch. Those that are taken for members wrongly are left out, unless ``keys`` (a column of
+        all keys in it) is given: then the supposed members, and only they, are looked up there."""
         sketch = df.sparkSession.sparkContext.broadcast(self)  # capacity bounds its size: 27 MB by default
         names, at = df.columns, df.columns.index(key)
 
-        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                keep = [k is None or k not in sketch.value for k in b.column(at).to_pylist()]
-                yield b.filter(pa.array(keep, pa.bool_())).select(names)
+        def rows(member: bool) -> DataFrame:
+            def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for b in it:
+                    keep = [(k is not None and k in sketch.value) == member for k in b.column(at).to_pylist()]
+                    yield b.filter(pa.array(keep, pa.bool_())).select(names)
+
+            return df.mapInArrow(run, df.schema)
 
-        return df.mapInArrow(run, df.schema)
+        if keys is None:
+            return rows(False)
+        known = keys.toDF("_key")
+        return rows(False).unionByName(rows(True).join(known, F.col(key) == F.col("_key"), "left_anti"))

@@ -14,7 +14,7 @@ from ..operators.classify import discussion_score, document_class
 from ..operators.filters import id_contains, is_html_page, long_enough, normal_id, not_empty, quality_measures, quality_reason, text_of, valid_utf8
 from ..operators.language import best_language, language_filter, language_score, language_scores
 from ..operators.repetition import line_repetition, ngram_repetition, repetition_reason
-from ..session import spread, table
+from ..session import materialize, spread, table
 from ..sources.files import path_list, preview, removal_log, unfinished
 from . import pipeline
 
@@ -257,10 +257,12 @@ def incremental_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def bloom_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """New batches against a sketch of the history's keys; a few new texts may be taken for known ones."""
+    """New batches against a sketch of the history's keys, as large as their number asks for; what it takes for known is looked up."""
     e = table(spark, d, "extracted").withColumn("key", dedup.content_key(F.col("text")))
-    sketch = dedup.BloomSketch(1_000_000).add_all(e.filter("batch_no = 0").select("key").distinct())
-    return sketch.missing(e.filter("batch_no > 0").select("rec_id", "key"), "key")
+    keys = materialize(e.filter("batch_no = 0").select("key").distinct(), "keys")
+    # of more keys than the sketch is made for, more are looked up, but none is lost
+    sketch = dedup.BloomSketch(min(max(keys.count(), 1000), 15_000_000)).add_all(keys)
+    return sketch.missing(e.filter("batch_no > 0").select("rec_id", "key"), "key", keys)
 
 
 @query(f"select batch_no, n, sum(n) over (order by batch_no) as running from (select batch_no, count(*) as n from {S_DEDUP} where k > 1 group by 1)")
