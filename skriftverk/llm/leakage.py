@@ -146,13 +146,24 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
     return int(best[-1])
 
 
+def lcs_lengths(a: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The same of ``a`` with each row."""
+    best = np.zeros((len(rows), rows.shape[1] + 1), np.int16)
+    for x in a:
+        best[:, 1:] = np.where(rows == x, best[:, :-1] + 1, best[:, 1:])
+        np.maximum.accumulate(best, axis=1, out=best)
+    return best[:, -1]
+
+
 def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
           run: int = 12, shortest: int = 8, window: int = 8, rank: int = 48, cosine: float = 0.95, known: int | None = None, paraphrases: bool = False, bits: int = 14, tables: int = 1, max_words: int = 2_000_000) -> DataFrame:
     """(id, item, run, lcs, exact) for each document and item with a candidate window that passes a check.
 
     ``exact``: the document holds ``run`` consecutive words of the item (all of a shorter item). With ``paraphrases``, also
-    pairs of two matching windows (three for items of 24 words or more) whose longest common subsequence, around the match, is 0.6 of the item's words or more; ``known`` is the number
-    of an item's words that a window needs to be looked at (all of them by default; fewer find looser paraphrases).
+    pairs whose longest common subsequence, around some matching window, is 0.6 of the item's words or more; ``lcs`` is the best over
+    all matching windows. ``known`` is the number of the items' words that a window needs to be looked at (all of them by default;
+    fewer find looser paraphrases, as do a lower ``cosine``, fewer ``bits`` and more ``tables``). ``answers`` is how many of the item's
+    last twelve words stand anywhere in the document; the items have no answer options apart from their text.
     """
     rows = items_df.select(item_col, item_text).limit(max_words + 1).collect()  # bounded by the check that follows
     if len(rows) > max_words or sum(len(words(t)) for _, t in rows) > max_words:
@@ -239,13 +250,11 @@ def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col
                 for d, j, p, q in np.unique(np.stack([d_, j_, p_, q_])[:, same], axis=1).T.tolist():
                     run_check(out, docs_ids[d], d, j, p, q)
                 if paraphrases and len(z):
-                    key = d_ * len(items.items) + j_
-                    _, one = np.unique(np.stack([key, p_]), axis=1, return_index=True)  # a window counts once a pair
-                    u, at_first, n = np.unique(key[one], return_index=True, return_counts=True)
-                    need = np.where(item_sizes[u % len(items.items)] >= 24, 3, 2)
-                    for k in np.flatnonzero(n >= need):
-                        x = one[at_first[k]]
-                        lcs_check(out, docs_ids[d_[x]], int(d_[x]), int(j_[x]), int(p_[x]), int(q_[x]))
+                    _, one = np.unique(np.stack([j_, d_, p_ - q_]), axis=1, return_index=True)  # each diagonal of a pair
+                    for part in np.split(one, np.flatnonzero(np.diff(j_[one])) + 1):
+                        for s in range(0, len(part), 2048):
+                            x = part[s : s + 2048]
+                            lcs_check(out, docs_ids, d_[x], int(j_[part[0]]), p_[x] - q_[x])
             keys = sorted(out)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array([k[0] for k in keys], pa.int64())), pa.array([items.items[k[1]][0] for k in keys], item_kind)]
@@ -253,8 +262,6 @@ def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col
                 names=[id_col, item_col, "run", "lcs", "answers", "exact"],
             )
 
-    item_sizes = np.array([len(ids) for _, ids, _ in items.items])
-
     def run_check(out: dict, doc: np.ndarray, d: int, j: int, p: int, q: int) -> None:
         """The longest common run on the diagonal of an equal window."""
         _, item, need = items.items[j]
@@ -265,11 +272,20 @@ def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col
         if longest >= need or old is not None:
             out[d, j] = [max(longest, old[0] if old else 0), 0.0, 0, longest >= need or bool(old and old[3])]
 
-    def lcs_check(out: dict, doc: np.ndarray, d: int, j: int, p: int, q: int) -> None:
+    def lcs_check(out: dict, docs_ids: list[np.ndarray], d: np.ndarray, j: int, diagonal: np.ndarray) -> None:
+        """The best subsequence of each document with an item, over all diagonals that have a candidate."""
         _, item, _ = items.items[j]
-        lcs = lcs_length(item, doc[max(0, p - q - 5) : p - q + len(item) + 5]) / len(item)
-        old = out.get((d, j))
-        if lcs >= 0.6 or old is not None:
-            out[d, j] = [old[0] if old else 0, lcs, int(np.isin(item[-12:], doc).sum()), bool(old and old[3])]
+        near = np.full((len(d), len(item) + 10), -1)
+        for r, (i, a) in enumerate(zip(d.tolist(), diagonal.tolist())):
+            x = docs_ids[i][max(0, a - 5) : a + len(item) + 5]
+            near[r, : len(x)] = x
+        may = np.isin(near, item).sum(axis=1) >= 0.6 * len(item)  # no subsequence is longer than what is common
+        may |= np.fromiter(((i, j) in out for i in d.tolist()), bool, len(d))
+        for i, n in zip(d[may].tolist(), lcs_lengths(item, near[may]).tolist()):
+            lcs, old = n / len(item), out.get((i, j))
+            if old is not None:
+                old[1:3] = [max(lcs, old[1]), old[2] or int(np.isin(item[-12:], docs_ids[i]).sum())]
+            elif lcs >= 0.6:
+                out[i, j] = [0, lcs, int(np.isin(item[-12:], docs_ids[i]).sum()), False]
 
     return src.mapInArrow(search, schema)

@@ -88,7 +88,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
-    got = leaks(table(spark, d, "documents"), table(spark, d, "benchmark"), cosine=0.9, known=7, paraphrases=True, bits=12, tables=3)
+    got = leaks(table(spark, d, "documents"), table(spark, d, "benchmark"), cosine=0.75, known=5, paraphrases=True, bits=8, tables=6)
     return got.select("doc_id", "item_id", "run", F.round("lcs", 4).alias("lcs"), "answers", "exact")
 
 
