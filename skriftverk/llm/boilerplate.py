@@ -16,6 +16,8 @@ import difflib
 import html as html_lib
 import re
 import zlib
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,16 +95,28 @@ def leaf_blocks(page: str | None) -> list[tuple[str, str, str, float]]:
 
 
 def aligned(lines: list[str], blocks: list[tuple[str, str, str, float]], window: int = 12) -> list[int]:
-    """For each line the number of its block, or -1; in order, looking ahead a little."""
+    """For each line the number of its block, or -1; in order, looking ahead a little.
+
+    Beyond ``window`` an index of the block texts finds where the lines go on after a run of hidden blocks: a line that stands once in the
+    rest of the page and is long or followed by its next block's line, if none of the next lines is near.
+    """
     out, j = [], 0
     texts = [b[0] for b in blocks]
-    for ln in lines:
+    index = defaultdict(list)
+    for k, x in enumerate(texts):
+        index[x].append(k)
+    for i, ln in enumerate(lines):
         hit = -1
         if ln:
             for k in range(j, min(len(texts), j + window)):
                 if texts[k] == ln or (len(ln) > 30 and (texts[k].startswith(ln[:30]) or ln in texts[k])):
                     hit, j = k, k + 1
                     break
+            else:
+                far = index.get(ln, ())
+                far = far[bisect_left(far, j) :]
+                if len(far) == 1 and (len(ln) > 30 or lines[i + 1 : i + 2] == texts[far[0] + 1 : far[0] + 2] != []) and set(lines[i + 1 : i + 4]).isdisjoint(texts[j : j + window]):
+                    hit, j = far[0], far[0] + 1
         out.append(hit)
     return out
 
@@ -156,7 +170,7 @@ def _slug(s: str) -> str:
 def headline_marks(lines: list[str], page: str | None, url: str | None) -> set[int]:
     """The lines that begin as the page's title or the last part of its address do."""
     out = set()
-    m = _TITLE.search(page[:20_000]) if page else None
+    m = _TITLE.search(page) if page else None
     title = _slug(html_lib.unescape(m.group(1))) if m else ""
     slug = _slug(re.sub(r"\.\w+$", "", (url or "").rstrip("/").rpartition("/")[2].partition("?")[0]))
     slug = re.sub(r"-?\d+$", "", slug)
@@ -435,15 +449,19 @@ def boilerplate_lines(df: DataFrame, model: Chain, id_col: str = "page_id", text
 
 
 def main_bodies(df: DataFrame, model: Chain, id_col: str = "page_id", text_col: str = "text", html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """(id, body) of every page; null where the page has no text."""
+    """(id, body) of every page. Where the text is null or blank, the lines are the leaf blocks of the HTML; if that has no body either,
+    the body is null for a null text and empty for a blank one.
+    """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(it, "t", 2_000_000):
-            texts = b.column(1).to_pylist()
+        for b in chunks(chunks(it, "t", 2_000_000), "h", 8_000_000):
+            given = b.column(1).to_pylist()
+            texts = [t if t and t.strip() else "\n".join(x[0] for x in leaf_blocks(p)) for t, p in zip(given, b.column(2).to_pylist())]
             out = []
-            for t, (kept, y) in zip(texts, _decoded(texts, b.column(2).to_pylist(), b.column(3).to_pylist(), model)):
-                raw = t.split("\n") if t else []
-                out.append(None if t is None else "\n".join(raw[k].strip() for k, s in zip(kept, y) if s == BODY))
+            for g, t, (kept, y) in zip(given, texts, _decoded(texts, b.column(2).to_pylist(), b.column(3).to_pylist(), model)):
+                raw = t.split("\n")
+                body = "\n".join(raw[k].strip() for k, s in zip(kept, y) if s == BODY)
+                out.append(body or (None if g is None else ""))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=[id_col, "body"])
 
     src = spread(df.selectExpr(f"`{id_col}` as i", f"`{text_col}` as t", f"`{html_col}` as h", f"`{url_col}` as u"))
