@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -42,11 +43,88 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/skriftverk/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor costs nothing."""
-    path = scratch_path(df.sparkSession, name)
+def materialize(df: DataFrame, name: str, with_path: bool = False) -> DataFrame | tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor costs nothing.
+
+    With ``with_path`` also the path, for an owner that drops it; the rest goes at the end of the session.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if with_path:
+        return out, path
+    _leftover(spark).append(path)
+    return out
+
+
+_left: dict[int, list[str]] = {}
+
+
+def _leftover(spark: SparkSession) -> list[str]:
+    """Scratch tables that a returned frame may still read; dropped by ``release`` or when Python ends."""
+    key = id(spark.sparkContext)
+    if key not in _left:
+        _left[key] = []
+        atexit.register(release, spark)
+    return _left[key]
+
+
+def release(spark: SparkSession) -> None:
+    """Drop the session's scratch tables; frames that were made from them can no longer be read."""
+    paths = _left.get(id(spark.sparkContext), [])
+    try:
+        while paths:
+            drop_path(spark, paths[-1])
+            paths.pop()
+    except Exception:  # noqa: BLE001 - at exit the JVM may be gone
+        pass
+
+
+class Scratch:
+    """Intermediate tables of one operator: ``with Scratch(spark) as keep`` writes them and drops them at the end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        out, path = materialize(df, name, with_path=True)
+        self.paths.append(path)
+        return out
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for p in self.paths:
+            drop_path(self.spark, p)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced as a whole."""
+    jvm = spark.sparkContext._jvm
+    p, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".new")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(new, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; of an interrupted replacement, the new one; None if there is none."""
+    jvm = spark.sparkContext._jvm
+    for name in (path, path + ".new"):
+        p = jvm.org.apache.hadoop.fs.Path(name)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            stream = fs.open(p)
+            try:
+                return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+    return None
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
