@@ -11,25 +11,27 @@ from .operators import dedup, minhash
 from .operators.evaluate import discard_breakdown, word_diff
 from .operators.filters import id_contains
 from .plans import pipeline
-from .session import build_session, ship
+from .session import build_session, materialize, ship
 from .sources import files, warc
 
 
 def extract(spark, a: argparse.Namespace) -> None:
     """Shards that the manifest lacks, through the production steps, to gzipped JSON lines."""
-    pages = warc.read_warc(spark, a.input)
-    if a.manifest:
-        pages = files.unfinished(pages.withColumnRenamed("file", "path"), files.read_manifest(spark, a.manifest)).withColumnRenamed("path", "file")
+    shards = warc.list_files(spark, a.input)
+    if a.manifest:  # finished shards are not opened; the list is fixed, as shards may arrive meanwhile
+        shards = materialize(files.unfinished(shards, files.read_manifest(spark, a.manifest)), "shards")
+    pages = warc.read_warc(spark, shards)
     kept = pipeline.survivors(pipeline.run(pages, pipeline.production()))
     files.write_jsonl(kept.select("text", "id", F.struct("url", "document_class").alias("metadata")), a.output)
     if a.manifest:
-        files.mark_finished(pages.select(F.col("file").alias("path")), a.manifest)
+        files.mark_finished(shards, a.manifest)
 
 
 def deduplicate(spark, a: argparse.Namespace) -> None:
     """Exact, then near duplicates; removed rows go beside the kept ones."""
     rows, _ = files.read_jsonl(spark, a.input)
     rows = files.settled(rows, a.settle_seconds).withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows, "settled")  # all outputs have the same rows, whatever the clock says when they are written
     kept, same = dedup.exact_dedup(rows, "text", ["file"], "row")
     near_kept, near = minhash.near_dedup(kept, "row")
     for name, df in (("kept", near_kept), ("exact_duplicates", same), ("near_duplicates", near)):

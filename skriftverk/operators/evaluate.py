@@ -57,20 +57,26 @@ def audit(df: DataFrame, id_col: str, url: str, reason: str, text: str) -> DataF
     return df.filter(F.col(reason).isNotNull()).select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.col(reason).alias("reason"), snippet.alias("text_snippet"))
 
 
-def gold_lookup(docs: DataFrame, gold: DataFrame, doc_id: str = "id", gold_id: str = "id", gold_text: str = "text", max_gold: int = 100_000) -> DataFrame:
+def gold_lookup(docs: DataFrame, gold: DataFrame, doc_id: str = "id", gold_id: str = "id", gold_text: str = "text", block_bytes: int = 4_000_000) -> DataFrame:
     """Each document with the text of the gold record whose normalised id contains its own or lies in it; the least such id wins.
 
-    Equal ids are joined by hash. The rest goes against the labelled table in blocks, which is broadcast once it is known
-    to have ``max_gold`` rows or fewer; a larger one raises an error. Empty ids match nothing.
+    Equal ids are joined by hash. The other distinct ids go against the gold ids (without their texts) in blocks of about
+    ``block_bytes``, each of which is broadcast; texts are joined last, by id. Empty ids match nothing.
     """
     g = gold.select(normal_id(F.col(gold_id)).alias("g"), F.col(gold_text).alias("gold_text")).filter("g <> ''").groupBy("g").agg(F.first("gold_text", ignorenulls=True).alias("gold_text"))
-    if g.limit(max_gold + 1).count() > max_gold:
-        raise ValueError(f"more than {max_gold} gold ids")
     d = docs.withColumn("_d", normal_id(F.col(doc_id)))
-    near = F.col("g").contains(F.col("_d")) | F.col("_d").contains(F.col("g"))
+    size = gold.select(F.sum(F.octet_length(normal_id(F.col(gold_id))) + 32)).first()[0] or 0
+    blocks = size // block_bytes + 1
     ids = d.select("_d").filter("_d <> ''").distinct()
-    hit = ids.join(F.broadcast(g), near).groupBy("_d").agg(F.min(F.struct(F.when(F.col("g") == F.col("_d"), 0).otherwise(1).alias("o"), "g", "gold_text")).alias("m"))
-    return d.join(hit.select("_d", "m.gold_text"), "_d", "left").drop("_d")
+    same = F.col("_d") == F.col("g")
+    hit = ids.join(g.select("g"), same).select("_d", "g")
+    rest = ids.join(g.select("g"), same, "left_anti")
+    near = F.col("g").contains(F.col("_d")) | F.col("_d").contains(F.col("g"))
+    for i in range(blocks):
+        part = g.select("g").filter(F.pmod(F.xxhash64("g"), F.lit(blocks)) == i) if blocks > 1 else g.select("g")
+        hit = hit.union(rest.join(F.broadcast(part), near).select("_d", "g"))
+    best = hit.groupBy("_d").agg(F.min("g").alias("g")).join(g, "g").select("_d", "gold_text")
+    return d.join(best, "_d", "left").drop("_d")
 
 
 def percent_label(c: Column) -> Column:

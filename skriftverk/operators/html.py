@@ -246,20 +246,49 @@ def preprocess(page: Column) -> Column:
     return F.pandas_udf(_preprocess, _PAGE).asNondeterministic()(page)
 
 
-def extracted_lines(page: Column) -> Column:
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: text_lines(x) if x else [])
+def is_upper_text(x: str) -> bool:
+    return x == x.upper() and x != x.lower()
 
-    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
-    return F.pandas_udf(run, "array<string>").asNondeterministic()(page)
 
+_SHORT_LINE_WORDS = frozenset(SHORT_LINE_WORDS)
 
-def dense(page: Column) -> Column:
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: dense_text(x) if x else "")
 
-    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
-    return F.pandas_udf(run, "string").asNondeterministic()(page)
+def running_text(found: list[str]) -> str:
+    """``clean_lines`` and ``joined_lines`` of lines that Python already holds."""
+    kept = []
+    for x in filter(None, (s.strip() for s in found)):
+        ws = x.split()
+        if (len(ws) < 5 and not _SHORT_LINE_WORDS.isdisjoint(ws)) or (len(ws) < 4 and x[-1] not in ".,!?:" and not is_upper_text(x[0])):
+            continue
+        kept.append(x)
+    calm = [x for x, y in zip(kept, [*kept[1:], ""]) if not (x[-1] == ":" and y[-1:] == ":")]
+    return "".join(x if not i else ("\n" if before[-1] in ".!?:" or x[-1] == ":" or is_upper_text(x) else " ") + x for i, (before, x) in enumerate(zip(["", *calm], calm)))
+
+
+def _text_of_pages(page: Column, extractor: Callable[[str], str]) -> Column:
+    """struct(text, error) by one Arrow stage, evaluated once; a page that the parser does not survive has an error and no text."""
+
+    def run(s: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x in s:
+            try:
+                rows.append((extractor(x) if x else "", None))
+            except Exception as e:  # noqa: BLE001 - one page must not end the job
+                rows.append((None, f"broken HTML: {type(e).__name__}"))
+        return pd.DataFrame(rows, columns=["text", "error"])
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(run, "struct<text string, error string>").asNondeterministic()(page)
+
+
+def simple(page: Column) -> Column:
+    """struct(text, error): text lines, cleaned and joined."""
+    return _text_of_pages(page, lambda x: running_text(text_lines(x)))
+
+
+def dense(page: Column) -> Column:
+    """struct(text, error) by text density."""
+    return _text_of_pages(page, dense_text)
 
 
 def clean_lines(found: Column, case_sensitive: bool = True) -> Column:
@@ -283,9 +312,8 @@ def joined_lines(kept: Column) -> Column:
 
 
 def simple_text(df: DataFrame, page: str = "html", out: str = "extracted") -> DataFrame:
-    """Adds the extracted text; the tree work is one Arrow stage, the rest native."""
-    df = df.withColumn("_lines", extracted_lines(F.col(page))).withColumn("_kept", clean_lines(F.col("_lines")))
-    return df.withColumn(out, joined_lines(F.col("_kept"))).drop("_lines", "_kept")
+    """Adds the extracted text, null for a page that cannot be parsed."""
+    return df.withColumn("_x", simple(F.col(page))).withColumn(out, F.col("_x.text")).drop("_x")
 
 
 def link_tables(text: Column, tables: Column, og_title: Column, title_always: bool = False) -> Column:

@@ -1,7 +1,10 @@
-"""Language by a vote of frequent words, with a score in [0, 1]; no model file is needed."""
+"""Language by a vote of frequent words, with a score in [0, 1]; no model file is needed. ``scorer`` plugs in a model."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,5 +37,21 @@ def best_language() -> Column:
     )
 
 
+def in_language(lang: str, threshold: float) -> Column:
+    """Whether the score is above the threshold and no other language is the best one."""
+    return (language_score(lang) > threshold) & F.coalesce(best_language() == lang, F.lit(False))
+
+
 def language_filter(df: DataFrame, text: str = "text", lang: str = "sv", threshold: float = 0.75) -> DataFrame:
-    return language_scores(df, text).filter(language_score(lang) > threshold).drop("votes")
+    return language_scores(df, text).filter(in_language(lang, threshold)).drop("votes")
+
+
+def model_scores(df: DataFrame, scorer: Callable[[list[str]], list[dict[str, float]]], text: str = "text") -> DataFrame:
+    """Adds ``votes`` from a model: ``scorer`` gives the score of each language for a list of texts, in Arrow batches. The filters above
+    take either kind of votes."""
+
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series(scorer([x or "" for x in s]), dtype=object)
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return df.withColumn("votes", F.pandas_udf(run, "map<string,double>")(F.col(text)))

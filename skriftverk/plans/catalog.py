@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lexicon import ARTICLE_WORDS, DISCUSSION_WORDS, FOREIGN, LANGUAGE_WORDS, LINE_END, OTHER_FILES, REPETITION_LIMITS, SWEDISH_STOP_WORDS, WS
+from ..functions.lexicon import ARTICLE_WORDS, DISCUSSION_WORDS, FOREIGN, LANGUAGE_WORDS, LINE_END, OTHER_FILES, REPETITION_LIMITS, SHORT_LINE_WORDS, SWEDISH_STOP_WORDS, WS
 from ..functions.text import SPACES, count_class, is_upper, lines, safe_name, strip, tokens
 from ..operators import dedup, evaluate, html, minhash, pii
 from ..operators.classify import discussion_score, document_class
@@ -188,7 +188,7 @@ def language_votes(spark: SparkSession, d: str) -> DataFrame:
     return s.select("doc_id", best_language().alias("language"), F.round(language_score("sv"), 6).alias("sv"))
 
 
-@query(f"select doc_id from {S_LANG} where {S_TOP} > 0 and v_sv::double / {S_TOP} > 0.75")
+@query(f"select doc_id from {S_LANG} where {S_TOP} > 0 and v_sv = {S_TOP} and {' and '.join(f'v_{k} < v_sv' for k in LANGUAGE_WORDS if k < 'sv')}")
 def langid_filter(spark: SparkSession, d: str) -> DataFrame:
     return language_filter(spread(table(spark, d, "documents"))).select("doc_id")
 
@@ -230,7 +230,7 @@ S_DEDUP = f"(select *, row_number() over (partition by {S_KEY} order by batch_no
 
 @query(f"select rec_id, copies from {S_DEDUP} where k = 1")
 def exact_dedup_kept(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.with_first(table(spark, d, "extracted"), dedup.content_key(F.col("text")), ["batch_no"], "rec_id").filter("is_first").select("rec_id", "copies")
+    return dedup.first_ids(table(spark, d, "extracted"), dedup.content_key(F.col("text")), ["batch_no"], "rec_id").select(F.col("_first").alias("rec_id"), "copies")
 
 
 @query(f"select coalesce(metadata.url, '') as url, replace(substr(coalesce(text, ''), 1, 100), chr(10), ' ') as preview from {S_DEDUP} where k > 1")
@@ -241,8 +241,9 @@ def exact_dedup_removed(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"select count(*) as processed, count(*) filter (where k > 1) as duplicates, count(*) filter (where k = 1) as kept from {S_DEDUP}")
 def dedup_totals(spark: SparkSession, d: str) -> DataFrame:
-    m = dedup.with_first(table(spark, d, "extracted"), dedup.content_key(F.col("text")), ["batch_no"], "rec_id")
-    return m.agg(F.count("*").alias("processed"), F.count_if(~F.col("is_first")).alias("duplicates"), F.count_if("is_first").alias("kept"))
+    m = dedup.first_ids(table(spark, d, "extracted"), dedup.content_key(F.col("text")), ["batch_no"], "rec_id")
+    n = F.coalesce(F.sum("copies"), F.lit(0))
+    return m.agg(n.alias("processed"), (n - F.count("*")).alias("duplicates"), F.count("*").alias("kept"))
 
 
 @query(
@@ -255,7 +256,7 @@ def incremental_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.unseen(e.filter("batch_no > 0"), seen, "text", ["batch_no"], "rec_id").select("rec_id")
 
 
-@query()
+@query(f"with k as (select rec_id, batch_no, {S_KEY} as key from extracted) select rec_id, key from k where batch_no > 0 and key not in (select key from k where batch_no = 0)")
 def bloom_dedup(spark: SparkSession, d: str) -> DataFrame:
     """New batches against a sketch of the history's keys, as large as their number asks for; what it takes for known is looked up."""
     e = table(spark, d, "extracted").withColumn("key", dedup.content_key(F.col("text")))
@@ -269,7 +270,7 @@ def bloom_dedup(spark: SparkSession, d: str) -> DataFrame:
 def running_duplicates(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
-    m = dedup.with_first(table(spark, d, "extracted"), dedup.content_key(F.col("text")), ["batch_no"], "rec_id").filter("not is_first")
+    m = dedup.exact_dedup(table(spark, d, "extracted"), "text", ["batch_no"], "rec_id")[1]
     n = m.groupBy("batch_no").agg(F.count("*").alias("n"))  # a row per batch
     return n.withColumn("running", F.sum("n").over(Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)))
 
@@ -328,7 +329,20 @@ def dup_ngrams(spark: SparkSession, d: str) -> DataFrame:
     return m.select("doc_id", *(F.round(f"dup_{n}", 6).alias(f"dup_{n}") for n in range(5, 11)))
 
 
-@query()
+S_LIMITS = {k: v for k, v in REPETITION_LIMITS.items() if k[:3] == "top" or k[4:].isdigit()}
+S_SHARES = {"dup_line_share": "l", "dup_line_chars": "l", "dup_paragraph_share": "p", "dup_paragraph_chars": "p"}
+
+
+def s_share(name: str) -> str:
+    u = S_SHARES[name]
+    n, k = (s_chars(u), s_chars(f"list_distinct({u})")) if name.endswith("chars") else (f"len({u})", f"len(list_distinct({u}))")
+    return f"(case when {n} = 0 then 0.0 else ({n} - {k})::double / {n} end)"
+
+
+@query(
+    f"""select u.doc_id, case {' '.join(f"when {k if k in S_LIMITS else s_share(k)} > {v} then {lit(k)}" for k, v in REPETITION_LIMITS.items())} end as reason
+    from {S_UNITS} u join ({s_ngrams({k: (s_top if k[:3] == 'top' else s_dup)(int(k[4:])) for k in S_LIMITS}).replace(', 6)', ', 15)')}) g on g.doc_id = u.doc_id"""
+)
 def repetition_reasons(spark: SparkSession, d: str) -> DataFrame:
     m = ngram_repetition(line_repetition(spread(table(spark, d, "documents").select("doc_id", "text"))))
     return m.select("doc_id", repetition_reason(REPETITION_LIMITS).alias("reason"))
@@ -415,10 +429,10 @@ def diff_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("select experiment, reason, count(*) as n, count(distinct url) as urls, min(id) as example from discards group by 1, 2")
+@query("select experiment, reason, count(*) as n, count(distinct url) as urls, arg_min_null(url, coalesce(id, '') || '/' || coalesce(url, '')) as example from discards group by 1, 2")
 def discard_breakdown(spark: SparkSession, d: str) -> DataFrame:
-    g = table(spark, d, "discards").groupBy("experiment", "reason")
-    return g.agg(F.count("*").alias("n"), F.count_distinct("url").alias("urls"), F.min("id").alias("example"))
+    rows = table(spark, d, "discards").withColumn("key", F.concat(text_of("id"), F.lit("/"), text_of("url")))
+    return evaluate.discard_breakdown(rows, "reason", "url", "key", ["experiment"])
 
 
 S_RETENTION = f"""(select p.page_id as id, p.text as gold_text, case when {S_HTML.replace('url', 'p.url').replace('html,', 'p.html,')} then null else 'html' end as reason, coalesce(p.source, '') as source from pages p)"""
@@ -459,9 +473,9 @@ def ever_discarded(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select experiment, count(*) as n, count(distinct id) as ids, printf('%.1f%%', 100.0 * count(distinct id) / (select count(*) from pages)) as share from discards group by 1")
 def discard_rates(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages").count()
+    pages = table(spark, d, "pages").agg(F.greatest(F.count("*"), F.lit(1)).alias("pages"))  # one row
     r = table(spark, d, "discards").groupBy("experiment").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
-    return r.select("experiment", "n", "ids", evaluate.percent_label(F.col("ids") / F.lit(max(pages, 1))).alias("share"))
+    return r.join(F.broadcast(pages)).select("experiment", "n", "ids", evaluate.percent_label(F.col("ids") / F.col("pages")).alias("share"))
 
 
 @query("select id, url, reason, text_snippet from (select id, url, 'empty' as reason, '[no text]' as text_snippet from pages where coalesce(text, '') = '')")
@@ -508,7 +522,7 @@ def extract_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def extract_dense(spark: SparkSession, d: str) -> DataFrame:
-    return spread(table(spark, d, "pages").select("page_id", "html")).select("page_id", html.dense(F.col("html")).alias("extracted"))
+    return spread(table(spark, d, "pages").select("page_id", "html")).select("page_id", html.dense(F.col("html"))["text"].alias("extracted"))
 
 
 @query()
@@ -523,7 +537,18 @@ def table_link(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@query()
+S_SHORT = f"len({s_tokens('x')})"
+S_FIRST = "(substr(x, 1, 1) = upper(substr(x, 1, 1)) and substr(x, 1, 1) <> lower(substr(x, 1, 1)))"
+S_KEPT = f"""list_filter(list_filter({s_parts(s_lines('t'))}, lambda x: not ({S_SHORT} < 5 and list_has_any({s_tokens('x')}, {sql_list(SHORT_LINE_WORDS)}))),
+  lambda x: not ({S_SHORT} < 4 and not regexp_matches(x, '[.,!?:]$') and not {S_FIRST}))"""
+S_CALM = "list_filter(k, lambda x, i: not (suffix(x, ':') and coalesce(suffix(k[i + 1], ':'), false)))"
+
+
+@query(
+    f"""select page_id, coalesce(array_to_string(list_transform(c, lambda x, i: case when i = 1 then x
+      when regexp_matches(c[i - 1], '[.!?:]$') or suffix(x, ':') or (x = upper(x) and x <> lower(x)) then chr(10) || x else ' ' || x end), ''), '') as joined
+    from (select page_id, {S_CALM} as c from (select page_id, {S_KEPT} as k from (select page_id, coalesce(text, '') as t from pages)))"""
+)
 def line_join(spark: SparkSession, d: str) -> DataFrame:
     p = spread(table(spark, d, "pages").select("page_id", "text")).withColumn("k", html.clean_lines(lines(text_of("text"))))
     return p.select("page_id", html.joined_lines(F.col("k")).alias("joined"))

@@ -1,6 +1,7 @@
 """Steps from frame to frame, folded into a plan. A step never drops rows: it gives a reason to those that it rejects.
 
-Rows with a reason stay as they are in later steps, so one pass gives survivors and the audit of all the others.
+Rows with a reason stay as they are in later steps, which do no work on them (they see a null page or text), so one pass
+gives survivors and the audit of all the others.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from ..operators import html as H
 from ..operators.classify import document_class
 from ..operators.evaluate import percent_label, retention, rouge1
 from ..operators.filters import is_html_page, long_enough, quality_measures, quality_reason
-from ..operators.language import language_score, language_scores
+from ..operators.language import in_language, language_scores
 from ..operators.repetition import NGRAM_COLUMNS, line_repetition, ngram_repetition, repetition_reason
+from ..session import materialize
 
 REASON = "filter_reason"
 
@@ -30,6 +32,11 @@ class Step:
         return self.apply(df)
 
 
+def alive(column: str) -> Column:
+    """The column in rows without a reason, else null."""
+    return F.when(F.col(REASON).isNull(), F.col(column))
+
+
 def rejecting(name: str, reason: Column, prepare: Callable[[DataFrame], DataFrame] | None = None, drop: list[str] | None = None) -> Step:
     """A filter step: where ``reason`` is not null, alive rows get it, or the step's name where it is empty."""
 
@@ -63,12 +70,12 @@ def only_html() -> Step:
 
 
 def classify() -> Step:
-    return Step("class", lambda df: df.withColumn("document_class", document_class(F.col("url"), F.col("html"), F.lit(""))))
+    return Step("class", lambda df: df.withColumn("document_class", document_class(F.col("url"), alive("html"), alive("html"))))
 
 
 def preprocess() -> Step:
     def apply(df: DataFrame) -> DataFrame:
-        df = df.withColumn("_p", H.preprocess(F.col("html")))
+        df = df.withColumn("_p", H.preprocess(alive("html")))
         df = df.withColumn(REASON, F.coalesce(REASON, F.col("_p.error")))
         return df.withColumn("html", F.coalesce("_p.page", "html")).withColumn("og_title", F.col("_p.og_title")).withColumn("tables", F.col("_p.tables")).drop("_p")
 
@@ -77,25 +84,26 @@ def preprocess() -> Step:
 
 def extract(article: int = 150, discussion: int = 70, dense: bool = False) -> Step:
     def apply(df: DataFrame) -> DataFrame:
-        df = df.withColumn("text", H.dense(F.col("html"))) if dense else H.simple_text(df, "html", "text")
+        df = df.withColumn("_x", (H.dense if dense else H.simple)(alive("html"))).withColumn("text", F.col("_x.text"))
         short = ~long_enough(F.col("text"), F.col("document_class"), article, discussion)
-        return df.withColumn(REASON, F.coalesce(REASON, F.when(short, "extractor: text too short")))
+        why = F.when(F.col("_x.error").isNotNull(), F.concat(F.lit("extractor: "), F.col("_x.error"))).when(short, "extractor: text too short")
+        return df.withColumn(REASON, F.coalesce(REASON, why)).drop("_x")
 
     return Step("extract", apply)
 
 
 def language(lang: str = "sv", threshold: float = 0.75) -> Step:
-    return rejecting("language", F.when(language_score(lang) <= threshold, ""), lambda df: language_scores(df, "text"), ["votes"])
+    return rejecting("language", F.when(~in_language(lang, threshold), ""), lambda df: language_scores(df.withColumn("_alive", alive("text")), "_alive"), ["votes", "_alive"])
 
 
 def quality(min_stop_words: float = 0.15, max_foreign: float = 0.05) -> Step:
     drop = ["n_lines", "n_tokens", "stop_words", "stop_ratio", "foreign_ratio", "special_ratio", "menu_ratio", "short_line_ratio"]
-    return rejecting("quality", quality_reason(min_stop_words, max_foreign), quality_measures, drop)
+    return rejecting("quality", quality_reason(min_stop_words, max_foreign), lambda df: quality_measures(df.withColumn("_alive", alive("text")), "_alive"), [*drop, "_alive"])
 
 
 def repetition() -> Step:
     lines = ["dup_line_share", "dup_line_chars", "dup_paragraph_share", "dup_paragraph_chars"]
-    return rejecting("repetition", repetition_reason(), lambda df: ngram_repetition(line_repetition(df)), [*lines, *NGRAM_COLUMNS])
+    return rejecting("repetition", repetition_reason(), lambda df: ngram_repetition(line_repetition(df.withColumn("_alive", alive("text")), "_alive"), "_alive"), [*lines, *NGRAM_COLUMNS, "_alive"])
 
 
 def relink() -> Step:
@@ -126,7 +134,8 @@ def evaluate(gold: DataFrame, experiments: list[Experiment], unescape: bool = Tr
     """A row per document and experiment: reason, extracted and gold text. Rows get a number, as ids may repeat."""
     page = F.coalesce("html", F.lit(""))
     base = gold.select(F.monotonically_increasing_id().alias("row"), "id", "url", F.col("text").alias("gold_text"), (H.unescape(page) if unescape else page).alias("html"))
-    parts = [run(base, [preprocess(), *e.steps, relink()]).select(F.lit(e.name).alias("experiment"), "row", "id", "url", "gold_text", F.col("text").alias("extracted"), REASON) for e in experiments]
+    base = materialize(run(base, [preprocess()]), "gold")  # the labelled pages are preprocessed once for all variants
+    parts = [run(base, [*e.steps, relink()]).select(F.lit(e.name).alias("experiment"), "row", "id", "url", "gold_text", F.col("text").alias("extracted"), REASON) for e in experiments]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

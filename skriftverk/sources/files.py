@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +40,10 @@ def unfinished(paths: DataFrame, manifest: DataFrame, column: str = "path") -> D
 def read_manifest(spark: SparkSession, path: str, column: str = "path") -> DataFrame:
     try:
         return spark.read.text(path).select(F.col("value").alias(column))
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return spark.createDataFrame([], f"{column} string")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{column} string")  # no manifest yet
 
 
 def mark_finished(paths: DataFrame, manifest: str, column: str = "path") -> None:

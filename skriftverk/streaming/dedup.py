@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,8 +34,10 @@ def dedup_into(stream: DataFrame, seen_path: str, out: str, checkpoint: str, tex
         spark = batch.sparkSession
         try:
             seen = spark.read.parquet(seen_path).filter(F.col("batch") < number).select("key")
-        except Exception:  # noqa: BLE001 - the first batch
-            seen = spark.createDataFrame([], "key string")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # a table that cannot be read must not let duplicates in
+                raise
+            seen = spark.createDataFrame([], "key string")  # the first batch
         keyed = batch.withColumn("key", content_key(F.col(text)))
         fresh = exact_dedup(keyed.join(seen, "key", "left_anti"), text, order, id_col)[0].persist()
         fresh.drop("key").write.mode("overwrite").json(f"{out}/batch={number}")

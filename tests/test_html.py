@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from skriftverk.operators import evaluate, html
@@ -22,6 +24,29 @@ def test_broken_markup():
     assert html.text_lines("<div" * 3000) is not None and html.text_lines("<b>" * 5000 + "x") == ["x"]
 
 
+def test_unparsable(spark):
+    rows = [("1", "https://x/nyheter/1", "<html><body><p>Text <![foo bar]> mer"), ("2", "https://x/nyheter/2", "<html><body><p>" + "ord i en lång rad " * 20)]
+    df = spark.createDataFrame(rows, "id string, url string, html string")
+    for dense in (False, True):
+        out = {r["id"]: r["filter_reason"] for r in pipeline.run(df, [pipeline.classify(), pipeline.extract(dense=dense)]).collect()}
+        assert out == {"1": "extractor: broken HTML: AssertionError", "2": None}
+    assert {r["id"]: r["extracted"] is None for r in html.simple_text(df).collect()} == {"1": True, "2": False}
+
+
+def test_running_text_is_the_native_one(spark):
+    rng = random.Random(2)
+    parts = ["Rubrik", "home page", "en rad text som är lång", "slut.", "Namn:", "HELA RADEN", "  ", "ÅÄÖ", "fråga?", "liten rad", "Köp nu", "x", "1 2", "Svar :"]
+    rows = [(i, [rng.choice(parts) for _ in range(rng.randint(0, 9))]) for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, x array<string>").withColumn("k", html.clean_lines(F.col("x")))
+    assert all(r["j"] == html.running_text(r["x"]) for r in df.select("x", html.joined_lines(F.col("k")).alias("j")).collect())
+
+
+def test_rejected_rows_are_not_worked_on(spark):
+    df = spark.createDataFrame([("1", "https://x/a.pdf", "<html><![foo bar]>")], "id string, url string, html string")
+    r = pipeline.run(df, pipeline.production()).first()
+    assert r["filter_reason"] == "dropped by html" and not r["text"]
+
+
 def test_lines(spark):
     def joined(xs):
         df = spark.createDataFrame([(xs,)], "x array<string>").withColumn("k", html.clean_lines(F.col("x")))

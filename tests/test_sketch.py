@@ -19,3 +19,19 @@ def test_bloom_dedup_is_exact_whatever_the_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(dedup.BloomSketch, "__init__", lambda self, capacity=15_000_000, rate=0.001: (made.append(capacity), init(self, capacity, rate))[1])
     got = sorted(r["rec_id"] for r in catalog.queries()["bloom_dedup"](spark, str(tmp_path)).collect())
     assert got == list(range(13_000, 14_000)) and made == [3000]
+
+
+def test_save_and_load(spark, tmp_path):
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(2000)], "key string")
+    s = dedup.BloomSketch(3000).add_all(keys)
+    one = dedup.BloomSketch(3000)
+    for i in range(2000):
+        one.add(f"k{i}")
+    assert (s.data == one.data).all()
+    path = str(tmp_path / "sketch.json")
+    assert dedup.BloomSketch.load(spark, path) is None
+    s.save(spark, path)
+    s.add("ny")
+    s.save(spark, path)
+    again = dedup.BloomSketch.load(spark, path)
+    assert (again.data == s.data).all() and "ny" in again and again.capacity == 3000

@@ -1,5 +1,7 @@
 import gzip
+import io
 import json
+import os
 
 from skriftverk.sources import files, warc
 from skriftverk.streaming import dedup
@@ -19,7 +21,23 @@ def test_warc(spark, tmp_path):
     rows = warc.read_warc(spark, str(tmp_path)).collect()
     full = [r for r in rows if r["file"].endswith("x.warc.gz")]
     assert [(r["url"], r["html"]) for r in full] == [("a", "<p>å"), ("b", "<p>å")]
-    assert len(rows) == 3
+    cut = [r for r in rows if r["file"].endswith("cut.warc.gz")]
+    assert [(r["url"], r["html"], r["error"]) for r in cut] == [("a", "<p>å", None), ("b", None, "file ends inside a member")]
+    assert warc.read_warc(spark, warc.list_files(spark, str(tmp_path)).filter("path like '%x.warc.gz'")).count() == 2
+
+
+def test_warc_damage():
+    good = [response(str(i), b"<p>" + os.urandom(40).hex().encode() * 50) for i in range(4)]
+    packed = [gzip.compress(x) for x in good]
+    broken = bytearray(packed[1])
+    broken[40:60] = b"\x00" * 20
+    got = list(warc.records(io.BytesIO(packed[0] + bytes(broken) + packed[2] + packed[3])))
+    assert [(r[1], r[5] is None) for r in got if r[5] is None] == [("0", True), ("2", True), ("3", True)] and sum(r[5] is not None for r in got) == 1
+    http = b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\n\x1f\x8bno gzip"
+    bad = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: z\r\nContent-Length: %d\r\n\r\n" % len(http) + http + b"\r\n\r\n"
+    got = list(warc.records(io.BytesIO(good[0] + bad + good[1] + good[2][:-9])))
+    assert [(r[1], (r[5] or "").split(":")[0]) for r in got] == [("0", ""), ("z", "broken body"), ("1", ""), ("2", "file ends inside a record")]
+    assert list(warc.records(io.BytesIO(b""))) == []
 
 
 def test_jsonl_and_manifest(spark, tmp_path):
