@@ -17,7 +17,7 @@ import html as html_lib
 import re
 import zlib
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +44,7 @@ def leaf_blocks(page: str | None) -> list[tuple[str, str, str, float]]:
         return []
     out: list[tuple[str, str, str, float]] = []
     stack: list[tuple[str, str]] = []
+    opened: Counter[str] = Counter()
     buf: list[str] = []
     linked = total = 0
     link = 0
@@ -75,17 +76,19 @@ def leaf_blocks(page: str | None) -> list[tuple[str, str, str, float]]:
         if tag in VOID:
             continue
         if m.group(2):
-            for i in range(len(stack) - 1, max(-1, len(stack) - 12), -1):
-                if stack[i][0] == tag:
-                    for t, _ in stack[i:]:
-                        link -= t == "a"
-                    del stack[i:]
-                    break
+            if opened[tag]:
+                while stack:
+                    t, _ = stack.pop()
+                    opened[t] -= 1
+                    link -= t == "a"
+                    if t == tag:
+                        break
         else:
             if tag in ("p", "li", "dt", "dd", "tr", "td") and stack and stack[-1][0] == tag:
-                stack.pop()  # an end tag left out
+                opened[stack.pop()[0]] -= 1  # an end tag left out
             a = _ATTR.findall(m.group(4) or "")
             stack.append((tag, " ".join(x or y or z for x, y, z in a).lower() if a else ""))
+            opened[tag] += 1
             link += tag == "a"
     if at < len(page):
         rest = page[at:]
@@ -94,30 +97,59 @@ def leaf_blocks(page: str | None) -> list[tuple[str, str, str, float]]:
     return out
 
 
-def aligned(lines: list[str], blocks: list[tuple[str, str, str, float]], window: int = 12) -> list[int]:
-    """For each line the number of its block, or -1; in order, looking ahead a little.
+def aligned(lines: list[str], blocks: list[tuple[str, str, str, float]]) -> list[int]:
+    """For each line the number of its block, or -1; in order.
 
-    Beyond ``window`` an index of the block texts finds where the lines go on after a run of hidden blocks: a line that stands once in the
-    rest of the page and is long or followed by its next block's line, if none of the next lines is near.
+    Texts that stand once among the lines and once among the blocks are anchors, as many as keep their order (a longest
+    increasing sequence). Between two anchors each line takes the next block with its text, or, if it is long, the next that begins
+    as it does or holds it, however many hidden blocks lie before that; a short text that is found far ahead must be followed by the
+    block of the next line.
     """
-    out, j = [], 0
     texts = [b[0] for b in blocks]
-    index = defaultdict(list)
+    places: dict[str, list[int]] = defaultdict(list)
+    starts: dict[str, list[int]] = defaultdict(list)
     for k, x in enumerate(texts):
-        index[x].append(k)
+        places[x].append(k)
+        starts[x[:30]].append(k)
+    once = Counter(lines)
+    pairs = [(i, places[x][0]) for i, x in enumerate(lines) if x and once[x] == 1 and len(places.get(x, ())) == 1]
+    ends: list[int] = []  # least last block of an increasing sequence of each length
+    at: list[int] = []
+    before: list[int] = []
+    for n, (_, k) in enumerate(pairs):
+        p = bisect_left(ends, k)
+        if p == len(ends):
+            ends.append(k)
+            at.append(n)
+        else:
+            ends[p], at[p] = k, n
+        before.append(at[p - 1] if p else -1)
+    out = [-1] * len(lines)
+    n = at[-1] if at else -1
+    while n >= 0:
+        out[pairs[n][0]] = pairs[n][1]
+        n = before[n]
+    stops = [len(texts)] * (len(lines) + 1)
+    for i in range(len(lines) - 1, -1, -1):
+        stops[i] = out[i] if out[i] >= 0 else stops[i + 1]
+    j = 0
     for i, ln in enumerate(lines):
+        if out[i] >= 0:
+            j = out[i] + 1
+            continue
+        stop = stops[i]
+        if not ln or j >= stop:
+            continue
         hit = -1
-        if ln:
-            for k in range(j, min(len(texts), j + window)):
-                if texts[k] == ln or (len(ln) > 30 and (texts[k].startswith(ln[:30]) or ln in texts[k])):
-                    hit, j = k, k + 1
-                    break
-            else:
-                far = index.get(ln, ())
-                far = far[bisect_left(far, j) :]
-                if len(far) == 1 and (len(ln) > 30 or lines[i + 1 : i + 2] == texts[far[0] + 1 : far[0] + 2] != []) and set(lines[i + 1 : i + 4]).isdisjoint(texts[j : j + window]):
-                    hit, j = far[0], far[0] + 1
-        out.append(hit)
+        for among in (places.get(ln), starts.get(ln[:30]) if len(ln) > 30 else None):
+            if among and (p := bisect_left(among, j)) < len(among) and among[p] < stop and (hit < 0 or among[p] < hit):
+                hit = among[p]
+        if hit < 0 and len(ln) > 30:
+            hit = next((k for k in range(j, stop) if ln in texts[k]), -1)
+        if hit >= j + 12 and len(ln) <= 30 and lines[i + 1 : i + 2] != texts[hit + 1 : hit + 2]:
+            hit = -1  # a short text far ahead that does not go on: rather another place
+        if hit >= 0:
+            out[i], j = hit, hit + 1
     return out
 
 

@@ -6,7 +6,7 @@
 2. The distinct suspicious tokens of the documents are hash-joined against the table. A match is verified if the token cannot be
    a word itself (signs inside, mixed scripts or case, runs of accented letters), however frequent it is, or else if the
    original stands in at least as many distinct texts as the token does, or a verified word of the same chain in the document.
-   Of two originals the more frequent one counts.
+   Of two originals the more frequent one counts, of equally frequent ones the last in order.
 3. A document is affected if a verified form of a word of three letters or more is in it (two different ones for the seven-bit
    encoding, whose letters are brackets in code, and half of all words with brackets; three windows for scripts without spaces), or a garbled form of
    punctuation, a replacement character beside a letter, or control characters of the range 80-9F.
@@ -170,14 +170,14 @@ def clean_words(t: str) -> set[str]:
         thai = "฀" <= run[0] <= "๿"
         k = 4 if thai else 2
         out.update(run[i : i + k] for i in range(len(run) - k + 1))
-    return {w for w in out if len(w) <= 64}
+    return out
 
 
 def suspicious_tokens(t: str) -> set[str]:
     """Tokens that may be garbled: what white space delimits, without marks at its ends, and windows of dense runs."""
     out = set()
     for tok in set(re.split(r"[ \t\r\n]+", t)):
-        if not tok or len(tok) > 200:
+        if not tok:
             continue
         if _PLAIN.match(tok):
             if not re.search(r"[{}|\[\]\\~^`@]", tok) or not re.search(r"[a-zA-Z]", tok):
@@ -244,7 +244,7 @@ def garbled_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     tokens = materialize(src.withColumn("h", F.xxhash64("t")).mapInArrow(look, f"i {kind}, h long, token string"), "tokens")
     seen = tokens.select("token", "h").distinct().groupBy("token").agg(F.count("*").alias("seen"))
-    best = table.join(seen, "token").withColumn("ok", F.expr("sure or n >= seen")).groupBy("token").agg(F.max_by(F.struct("original", "chain", "ok"), F.struct("ok", "n")).alias("o"))
+    best = table.join(seen, "token").withColumn("ok", F.expr("sure or n >= seen")).groupBy("token").agg(F.max_by(F.struct("original", "chain", "ok"), F.struct("ok", "n", "original", "chain")).alias("o"))
     best = materialize(best.select("token", "o.*"), "verified")
     hits = tokens.drop("h").join(best, "token").groupBy("i").agg(F.collect_list(F.struct("token", "original", "chain", "ok")).alias("fixes"))
     # a match that is not verified by itself holds beside a verified word of the same chain

@@ -8,11 +8,12 @@
 3. A window's place is the sum of its words' places. The item windows lie in buckets by the signs of ``bits`` fixed
    projections of their places, in ``tables`` tables; a corpus window is compared with those of its own buckets, and pairs
    whose cosine is ``cosine`` or more are candidates. Equal windows always share their buckets.
-4. Candidates are checked word by word: the common run around the match, the longest common subsequence with the item
+4. Candidates are checked word by word, on their whole diagonals: the longest common run, the longest common subsequence with the item
    (for paraphrases) and the item's answer options in the document.
 
 A run of ``run`` words holds a whole window at one of the places that are searched (every ``run - window + 1`` words, and
-each place for items shorter than ``run``), and equal windows have cosine 1, so no leak is lost in step 3.
+each place for items shorter than ``run``), and equal windows have cosine 1, so no leak is lost in step 3; rows come from these
+candidates alone.
 
 The items are an evaluation set of bounded size: more than ``max_words`` words in all raise an error. Items of fewer than
 ``shortest`` words, null and blank texts are ignored. Repeated items are each reported.
@@ -246,11 +247,10 @@ def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col
                 z = occurs[np.repeat(first[r] - np.r_[0, np.cumsum(reps)[:-1]], reps) + np.arange(int(reps.sum()))] if len(r) else np.empty(0, np.int64)
                 c = np.repeat(c, reps)
                 d_, j_, p_, q_ = doc_of[z], items.owner[c], at[z], items.at[c]
-                same = (w[z] == items.windows[c]).all(axis=1)
-                for d, j, p, q in np.unique(np.stack([d_, j_, p_, q_])[:, same], axis=1).T.tolist():
+                _, one = np.unique(np.stack([j_, d_, p_ - q_]), axis=1, return_index=True)  # each diagonal of a pair that has a candidate
+                for d, j, p, q in np.stack([d_, j_, p_, q_])[:, one].T.tolist():
                     run_check(out, docs_ids[d], d, j, p, q)
                 if paraphrases and len(z):
-                    _, one = np.unique(np.stack([j_, d_, p_ - q_]), axis=1, return_index=True)  # each diagonal of a pair
                     for part in np.split(one, np.flatnonzero(np.diff(j_[one])) + 1):
                         for s in range(0, len(part), 2048):
                             x = part[s : s + 2048]
@@ -263,7 +263,7 @@ def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col
             )
 
     def run_check(out: dict, doc: np.ndarray, d: int, j: int, p: int, q: int) -> None:
-        """The longest common run on the diagonal of an equal window."""
+        """The longest common run on the diagonal of a candidate."""
         _, item, need = items.items[j]
         lo, hi = min(p, q), min(len(doc) - p, len(item) - q)
         eq = doc[p - lo : p + hi] == item[q - lo : q + hi]

@@ -113,8 +113,18 @@ _FRENCH = re.compile(r"(?<![\w-])(?P<n>\d{1,4}(?: bis| ter)?),?[ \xa0](?P<s>(?:r
 _POSTAL = re.compile(r"(?:,|\s)?\s*(?:(?:lgh|läg|vån|port)\.?[ \xa0]\d+|\d+[ \xa0]tr\.?)?,?\s*(?:(?:S|SE|N|D|F|FI|FIN|DE|FR)-)?\d{3}[ \xa0]?\d{2}[ \xa0]+[^\W\d_][\w-]+")
 
 
+_PLURAL = re.compile(r"\s[a-zåäö]+(?:ar|er|or|n)\b")
+_UNIT = re.compile(r"[ \xa0](?:kr|kg|cm|mm|m|km|st|procent|år|dl|kl|minuter|personer)\b")
+
+
 def _near(text: str, at: int, n: int = 3) -> list[str]:
-    return [w.lower().strip(".:/-") for w in _WORDS_BEFORE.findall(text[max(0, at - 48) : at])[-n:]]
+    """The last ``n`` words before a place."""
+    reach = 48
+    while True:
+        found = list(_WORDS_BEFORE.finditer(text, max(0, at - reach), at))[-n:]
+        if reach >= at or (len(found) == n and found[0].start() > at - reach):
+            return [m.group().lower().strip(".:/-") for m in found]
+        reach *= 2
 
 
 def _phones(t: str) -> Iterator[tuple[float, int, int, str]]:
@@ -176,19 +186,18 @@ def _addresses(t: str) -> Iterator[tuple[float, int, int, str]]:
             continue
         start = w.start("b") if before in FARM or own_word else w.start("a")
         score = 1.2
-        rest = t[number.end() : number.end() + 60]
-        postal = _POSTAL.match(rest)
+        postal = _POSTAL.match(t, number.end())
         if street and w["a"][0].islower() and not postal and t[:start].rstrip(" \xa0")[-1:] not in ("", "\n", "\r", "\u2028", ":"):
             near = _near(t, start, 1)
             score -= 0 if near and near[0] in BEFORE_STREETS else 0.4
         if not street and not own_word:
             if not (w["a"][0].isupper()) and not w["b"][0].islower():
                 score -= 0.5
-            if not postal and (w["a"][0].islower() or re.match(r"\s[a-zåäö]+(?:ar|er|or|n)\b", rest)):
+            if not postal and (w["a"][0].islower() or _PLURAL.match(t, number.end())):
                 score -= 0.5
-        if re.match(r"[ \xa0](?:kr|kg|cm|mm|m|km|st|procent|år|dl|kl|minuter|personer)\b", rest):
+        if _UNIT.match(t, number.end()):
             score -= 1
-        yield score, start, number.end() + (postal.end() if postal else 0), "address"
+        yield score, start, postal.end() if postal else number.end(), "address"
     for rx in (_ENGLISH, _FRENCH):
         for m in rx.finditer(t):
             yield 1.2, m.start(), m.end(), "address"
@@ -287,7 +296,7 @@ def spans(t: str | None, names: Names) -> list[tuple[int, int, str]]:
         return []
     found = [x for f in (_emails, _phones, _ids, _addresses) for x in f(t)]
     found += _names(t, names)
-    if "SE" in t or "FI" in t or "DE" in t or "NO" in t:
+    if found:  # an account takes away what lies in it
         found += [(9.0, m.start(), m.end(), "") for m in _IBAN.finditer(t) if mod97(m.group())]
     found = sorted((x for x in found if x[0] >= 1), key=lambda x: (-x[0], x[1], x[1] - x[2]))
     taken: list[tuple[int, int, str]] = []
@@ -341,10 +350,10 @@ def learn_names(docs: DataFrame, given: DataFrame, name_col: str = "name", text_
                 continue
             if w in listed:
                 a = _AFTER_GIVEN.match(t, m.end())
-                if a and a["s"][0].isupper() and len(a["s"]) > 3 and a["s"].lower() not in listed:
+                if a and a["s"][0].isupper() and len(a["s"]) > 1 and a["s"].lower() not in listed:
                     hits[a["s"].lower()] += 1
                     at = a.start("s")
-            elif len(w) > 3 and m.start() != at and not _BY_NAME.search(t, max(0, m.start() - 20), m.start()):
+            elif len(w) > 1 and m.start() != at and not _BY_NAME.search(t, max(0, m.start() - 20), m.start()):
                 others[w] += 1
 
     found = {s.rpartition("-")[2] for s in count(surnames)}

@@ -88,6 +88,30 @@ _EOL = re.compile(r"\r\n|[\n\r\x0b\x0c\x85  ]")
 _ENDS = re.compile(r"[.!?…。！？।۔።؟:;]['\"”»“’)\]」』]*$")
 
 
+_FIRST = re.compile(r"\S*")
+
+
+def wrap_width(lines: list[tuple[int, int]]) -> int:
+    """The width to which a text is wrapped, 0 if it isn't. ``lines``: length of each line, and of its first word.
+
+    A line is full for a width if the next line's first word would not have fitted, give or take two characters. Of all the lengths
+    that occur, the width is the greatest for which nearly as many lines are full as for any; lines beyond it (a table row, an
+    address) do not change it. A text counts as wrapped if its full lines are two or more and a quarter of all, and lines of that width or
+    less hold half of it.
+    """
+    if len(lines) < 2:
+        return 0
+    size = np.array([n for n, _ in lines])
+    need = size[:-1] + 3 + np.array([w for _, w in lines[1:]])  # a line is full for widths from its length to below this
+    widths = np.unique(size)
+    starts, ends = np.searchsorted(widths, size[:-1]), np.searchsorted(widths, need)
+    full = np.cumsum(np.bincount(starts, minlength=len(widths) + 1) - np.bincount(ends, minlength=len(widths) + 1))[:-1]
+    most = int(full.max())
+    best = int(np.flatnonzero(full >= 0.6 * most)[-1])
+    within = size[size <= widths[best]].sum() * 2 >= size.sum()
+    return int(widths[best]) if most >= max(2, len(lines) / 4) and within else 0
+
+
 def marked_breaks(text: str) -> str:
     """The text with each paragraph end replaced by NULs; line breaks inside sentences stay white space."""
     text = text.replace("\x00", " ")
@@ -95,24 +119,22 @@ def marked_breaks(text: str) -> str:
     if not breaks:
         return text
     lines = [x for x in _EOL.split(text) if x.strip()]
-    width = max(map(len, lines), default=0)
-    wrapped = width <= 90 and len(lines) > 1
+    width = wrap_width([(len(x.rstrip()), len(_FIRST.match(x.lstrip()).group())) for x in lines])
     cased = any(x[0] != x[0].lower() for x in lines)
-    out, at = [], 0
+    out, at, begun = [], 0, 0
     for m in breaks:
         out.append(text[at : m.start()])
-        at = m.end()
-        line = re.split(_EOL, text[max(0, m.start() - 400) : m.start()])[-1].strip()
-        following = text[at : at + 200]
-        first = re.split(r"\s", following, maxsplit=1)[0]
+        line = text[begun : m.start()].strip()
+        at = begun = m.end()
+        first = _FIRST.match(text, at).group()
         soft = len(_EOL.findall(m.group())) < 2 and line and first
         if soft:
             if _ENDS.search(line) and not line.endswith(":"):
                 soft = True  # ended or an abbreviation: the transducer decides
-            elif wrapped and len(line) + 1 + len(first) > width - 2:
+            elif width and width >= len(line) > width - 3 - len(first):
                 soft = True
             else:
-                soft = first[0].islower() and cased and not wrapped
+                soft = first[0].islower() and cased and not width
         out.append((" " if soft else "\x00") * (m.end() - m.start()))
     out.append(text[at:])
     return "".join(out)
