@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import textwrap
+from itertools import zip_longest
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -34,8 +36,10 @@ def deduplicate(spark, a: argparse.Namespace) -> None:
     rows = materialize(rows, "settled")  # all outputs have the same rows, whatever the clock says when they are written
     kept, same = dedup.exact_dedup(rows, "text", ["file"], "row")
     near_kept, near = minhash.near_dedup(kept, "row")
-    for name, df in (("kept", near_kept), ("exact_duplicates", same), ("near_duplicates", near)):
-        files.write_jsonl(df.select("id", "text", "metadata"), f"{a.output}/{name}")
+    files.write_lines(near_kept, f"{a.output}/kept")
+    for name, df in (("exact_duplicates", same), ("near_duplicates", near)):
+        files.write_jsonl(df.select("id", "text", "metadata", "file"), f"{a.output}/{name}")
+    files.removal_log(files.every_nth(same.withColumn("url", F.col("metadata.url")))).show(20, truncate=100)
 
 
 def diff_text(experiment: str, rows: list) -> str:
@@ -46,6 +50,13 @@ def diff_text(experiment: str, rows: list) -> str:
     return "\n".join(out) + "\n"
 
 
+def side_by_side(title: str, gold: str | None, got: str | None, width: int = 70) -> str:
+    """The text by hand and the extracted one in two columns, line by line."""
+    columns = [[x for line in (t or "").splitlines() for x in (textwrap.wrap(line, width) or [""])] for t in (gold, got)]
+    rows = [f"{a:<{width}} | {b}" for a, b in zip_longest(["by hand", *columns[0]], ["extracted", *columns[1]], fillvalue="")]
+    return "\n".join(["", title, *rows])
+
+
 def evaluate(spark, a: argparse.Namespace) -> None:
     gold, _ = files.read_jsonl(spark, a.gold_dir, files.GOLD)
     if a.doc_id:
@@ -55,7 +66,8 @@ def evaluate(spark, a: argparse.Namespace) -> None:
     discard_breakdown(results.filter(F.col(pipeline.REASON).isNotNull()), pipeline.REASON, by=["experiment"]).show(100, truncate=False)
     saved = results.filter(F.col(pipeline.REASON).isNull()).withColumn("key", F.concat_ws("#", "id", F.col("row").cast("string")))
     if a.doc_id:
-        saved.select("experiment", "id", "gold_text", "extracted").show(truncate=False)
+        for r in saved.select("experiment", "id", "gold_text", "extracted").orderBy("id", "experiment").toLocalIterator():  # one labelled document
+            print(side_by_side(f"{r['experiment']}: {r['id']}", r["gold_text"], r["extracted"]))
     if a.output_dir:
         files.write_jsonl(saved.select("experiment", "id", "url", F.col("extracted").alias("text")), a.output_dir, ["experiment"])
     if a.diff_dir:

@@ -45,3 +45,20 @@ REPETITION_LIMITS = {
 WS = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}])"
 FOREIGN = r"[\x{4e00}-\x{9fff}\x{3040}-\x{309f}\x{30a0}-\x{30ff}\x{0400}-\x{04ff}\x{0370}-\x{03ff}\x{0590}-\x{05ff}]"
+
+#: Contact data (fixed values). A phone number may follow any character that is no word character.
+EMAIL = r"(?i)\b[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}\b"
+PHONE = r"(?U)(?<!\w)(?:\+46\s?|0)[1-9](?:[\s-]?\d){6,11}\d\b"
+#: The same where a plus sign needs a word character before it, as in the pipeline that this engine replaces.
+PHONE_PARITY = r"(?U)\b(?:\+46\s?|0)[1-9](?:[\s-]?\d){6,11}\d\b"
+POSTCODE = rf"(?U)(?i)\b[1-9]\d{{2}}\s?\d{{2}}\b(?!\s*(?:{'|'.join(PRICE_UNITS)}))"
+ADDRESS = rf"(?U)(?i)\b(?:\w+\s+){{0,2}}\w+(?:{'|'.join(STREET_SUFFIXES)})(?:\s+\d+[a-zA-Z]?)?\b"
+
+#: Selectors of page parts (fixed values): classes and ids by exact value, and parts of them.
+WIDGET_CLASSES = "gsc-search-box widget Stats Stats1_content Image".split()
+COMMENT_IDS = "comments disqus_thread guestbook".split()
+COMMENT_CLASSES = "comments disqus comment-body comment-content commentlist guestbook".split()
+NOISE_PARTS = "cookie menu".split()
+NOISE_CLASS_PARTS = "share social sidebar banner footer header".split()
+NOISE_TAGS = "script style nav footer header table button form select input aside iframe noscript label caption".split()
+LAYOUT_WORDS = "search gsc-search menu nav sidebar widget stats".split()

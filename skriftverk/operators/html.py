@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lexicon import SHORT_LINE_WORDS
+from ..functions.lexicon import COMMENT_CLASSES, COMMENT_IDS, LAYOUT_WORDS, NOISE_CLASS_PARTS, NOISE_PARTS, NOISE_TAGS, SHORT_LINE_WORDS, WIDGET_CLASSES
 from ..functions.text import is_upper, strip, tokens
 from .filters import text_of
 
@@ -120,24 +120,21 @@ def _drop(root: Node, rule: Callable[[Node], bool]) -> None:
 
 
 def is_widget(n: Node) -> bool:
-    return (n.tag == "form" and _has(n, "action", "search")) or n.attrs.get("id") == "Stats1" or bool({"gsc-search-box", "widget", "Stats", "Stats1_content", "Image"} & set(_classes(n)))
+    return (n.tag == "form" and _has(n, "action", "search")) or n.attrs.get("id") == "Stats1" or not set(WIDGET_CLASSES).isdisjoint(_classes(n))
 
 
 def is_comment(n: Node) -> bool:
     box = n.tag in ("div", "section") and (_has(n, "id", "comment") or _has(n, "class", "comment"))
     listing = n.tag in ("ol", "ul", "article") and _has(n, "class", "comment")
     reply = n.tag == "div" and (_has(n, "class", "reply") or _has(n, "id", "reply"))
-    named = n.attrs.get("id") in ("comments", "disqus_thread", "guestbook") or bool({"comments", "disqus", "comment-body", "comment-content", "commentlist", "guestbook"} & set(_classes(n)))
+    named = n.attrs.get("id") in COMMENT_IDS or not set(COMMENT_CLASSES).isdisjoint(_classes(n))
     return box or listing or reply or named
 
 
 def is_noise(n: Node) -> bool:
-    part = any(_has(n, a, x) for a in ("class", "id") for x in ("cookie", "menu"))
-    part = part or any(_has(n, "class", x) for x in ("share", "social", "sidebar", "banner", "footer", "header"))
-    return part or n.tag in ("script", "style", "nav", "footer", "header", "table", "button", "form", "select", "input", "aside", "iframe", "noscript", "label", "caption")
-
-
-LAYOUT = ("search", "gsc-search", "menu", "nav", "sidebar", "widget", "stats")
+    part = any(_has(n, a, x) for a in ("class", "id") for x in NOISE_PARTS)
+    part = part or any(_has(n, "class", x) for x in NOISE_CLASS_PARTS)
+    return part or n.tag in NOISE_TAGS
 
 
 def table_markdown(table: Node) -> str:
@@ -164,7 +161,7 @@ def preprocessed(page: str) -> tuple[str, str | None, list[dict[str, object]]]:
     found = [n for n in root.walk() if n.tag == "table"]
     inner = {id(x) for n in found for x in n.walk() if x is not n}
     for t in found:
-        if id(t) in inner or any(x in t.markup().lower() for x in LAYOUT):
+        if id(t) in inner or any(x in t.markup().lower() for x in LAYOUT_WORDS):
             continue
         md = table_markdown(t)
         if not md:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lexicon import ARTICLE_WORDS, DISCUSSION_WORDS, FOREIGN, LANGUAGE_WORDS, LINE_END, OTHER_FILES, REPETITION_LIMITS, SHORT_LINE_WORDS, SWEDISH_STOP_WORDS, WS
+from ..functions.lexicon import ARTICLE_WORDS, BULLETS, DISCUSSION_WORDS, EMAIL, FOREIGN, LANGUAGE_WORDS, LINE_END, OTHER_FILES, PRICE_UNITS, REPETITION_LIMITS, SHORT_LINE_WORDS, STREET_SUFFIXES, SWEDISH_STOP_WORDS, WS
 from ..functions.text import SPACES, count_class, is_upper, lines, safe_name, strip, tokens
 from ..operators import dedup, evaluate, html, minhash, pii
 from ..operators.classify import discussion_score, document_class
@@ -208,18 +208,60 @@ def text_functions(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- contact data ------------------------------------------------------------------------------------------------------
-@query(r"select doc_id, len(list_distinct(regexp_extract_all(t, '(?i)\b[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}\b'))) as emails from " + DOCS)
+# The SQL engine's patterns have no look-around and know ASCII word boundaries only, so letters beyond ASCII are first written
+# in ASCII, one for one, and units after a post code are matched and then left out.
+_ASCII = {c: f"q{i}z" for i, c in enumerate("åäöéüøæèáíóñëêïôûçßàâìòùúýžšõœðþ\u030a\u0308\u0301\u0300\u0302\u0327\u0303")}
+
+
+def s_ascii(t: str, back: bool = False) -> str:
+    for c, x in [(f(c), f(x)) for c, x in _ASCII.items() for f in (str.lower, str.upper) if len(f(c)) == 1]:
+        t = f"replace({t}, {lit(x if back else c)}, {lit(c if back else x)})"
+    return t
+
+
+def in_ascii(ws: list[str]) -> str:
+    return "|".join("".join(_ASCII.get(c, c) for c in w) for w in ws)
+
+
+S_BLANK = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+S_PHONE = rf"(?:\B\+46{S_BLANK}?|\b0)[1-9](?:(?:{S_BLANK}|-)?\d){{6,11}}\d\b"
+S_CODE = rf"\b[1-9]\d{{2}}{S_BLANK}?\d{{2}}\b"
+S_STREET = rf"(?i)\b(?:\w+{S_BLANK}+){{0,2}}\w+(?:{in_ascii(STREET_SUFFIXES)})(?:{S_BLANK}+\d+[a-zA-Z]?)?\b"
+
+
+def s_found(pattern: str) -> str:
+    return f"len(list_distinct(regexp_extract_all(a, {lit(pattern)})))"
+
+
+S_PII = f"""(select *, {s_found(S_PHONE)} as phones, len(list_distinct(regexp_extract_all(t, {lit(EMAIL)}))) as emails, {s_found(S_STREET)} as addresses,
+  len(list_distinct(list_transform(list_filter(list_zip(regexp_extract_all(a, {lit(f'({S_CODE})(?i:{S_BLANK}*({in_ascii(PRICE_UNITS)}))?')}, 1), regexp_extract_all(a, {lit(f'({S_CODE})(?i:{S_BLANK}*({in_ascii(PRICE_UNITS)}))?')}, 2)), lambda x: coalesce(x[2], '') = ''), lambda x: x[1]))) as postcodes
+  from (select *, {s_ascii('t')} as a from {DOCS}))"""
+
+
+@query(f"select doc_id, len(list_distinct(regexp_extract_all(t, {lit(EMAIL)}))) as emails from " + DOCS)
 def pii_emails(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", pii.distinct_matches(F.col("text"), r"(?i)\b[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}\b").alias("emails"))
+    return table(spark, d, "documents").select("doc_id", pii.distinct_matches(F.col("text"), EMAIL).alias("emails"))
 
 
-@query()
+@query(f"select doc_id, phones, emails, postcodes, addresses, phones + emails + postcodes + addresses <= case when document_class = 'discussion' then 10 else 5 end as within_budget from {S_PII}")
 def pii_counts(spark: SparkSession, d: str) -> DataFrame:
     counts = [pii.distinct_matches(F.col("text"), p).alias(k) for k, p in pii.PATTERNS.items()]
     return spread(table(spark, d, "documents")).select("doc_id", *counts, pii.within_budget(F.col("text"), F.col("document_class")).alias("within_budget"))
 
 
-@query()
+def s_masked() -> str:
+    """Addresses and phones in ASCII, e-mail in the text as it is, codes in ASCII after a mark inside those that a unit follows; then tidied."""
+    swap = lambda x, p, by: f"regexp_replace({x}, {lit(p)}, {lit(by)}, 'g')"
+    x = swap(swap(s_ascii("t"), S_STREET, pii.PLACEHOLDERS["addresses"]), S_PHONE, pii.PLACEHOLDERS["phones"])
+    x = s_ascii(swap(s_ascii(x, True), EMAIL, pii.PLACEHOLDERS["emails"]))
+    x = swap(x, rf"(?i)(\b[1-9]\d{{2}}{S_BLANK}?\d)(\d\b{S_BLANK}*(?:{in_ascii(PRICE_UNITS)}))", r"\1" + "\x01" + r"\2")
+    x = s_ascii(f"replace({swap(x, S_CODE, pii.PLACEHOLDERS['postcodes'])}, {lit(chr(1))}, '')", True)
+    x = swap(x, r"\[ADRESS\][ \t-\r]*,[ \t-\r]*\[POSTNUMMER\]", "[ADRESS] [POSTNUMMER]")
+    x = f"translate({x}, {lit(BULLETS)}, {lit(' ' * len(BULLETS))})"
+    return s_strip(swap(swap(x, f"{S_BLANK}+([.,:;!?])", r"\1"), r"[ \t]+", " "))
+
+
+@query(f"select doc_id, {s_masked()} as masked from {DOCS}")
 def pii_masked(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "documents")).select("doc_id", pii.masked(F.col("text")).alias("masked"))
 

@@ -13,12 +13,13 @@ DOCUMENT = "id string, text string, metadata struct<url string, document_class s
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = DOCUMENT, glob: str = "*.jsonl*") -> tuple[DataFrame, DataFrame]:
-    """(rows with file and modified, malformed lines). gz files are read as such; malformed lines are kept apart, not lost."""
+    """(rows with line, file and modified, malformed lines). gz files are read as such; malformed lines are kept apart, not lost; ``line`` is
+    the row as it stands in the file."""
     raw = spark.read.option("pathGlobFilter", glob).text(path).filter("trim(value) <> ''")
     raw = raw.select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("modified"))
     parsed = raw.withColumn("_r", F.from_json("value", schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     names = [f.name for f in parsed.schema["_r"].dataType.fields if f.name != "_corrupt"]
-    good = parsed.filter("_r._corrupt is null").select(*(F.col(f"_r.`{n}`").alias(n) for n in names), "file", "modified")
+    good = parsed.filter("_r._corrupt is null").select(*(F.col(f"_r.`{n}`").alias(n) for n in names), F.col("value").alias("line"), "file", "modified")
     return good, parsed.filter("_r._corrupt is not null").select(F.col("value").alias("line"), "file")
 
 
@@ -55,6 +56,16 @@ def write_jsonl(df: DataFrame, path: str, by: list[str] | None = None, mode: str
     (w.partitionBy(*by) if by else w).json(path)
 
 
+def write_lines(df: DataFrame, path: str, line: str = "line", file: str = "file") -> None:
+    """Unchanged lines under the names of the files that they came from, gzipped."""
+    df.select(file, line).write.partitionBy(file).option("compression", "gzip").text(path)
+
+
+def every_nth(df: DataFrame, n: int = 500) -> DataFrame:
+    """Every n-th row of each partition, to watch a long run by; no row is moved."""
+    return df.filter(F.pmod(F.monotonically_increasing_id(), F.lit(n)) == n - 1)
+
+
 def preview(df: DataFrame, id_col: str = "id", cls: str = "document_class", text: str = "text", chars: int = 500) -> DataFrame:
     return df.select(id_col, cls, F.substring(text, 1, chars).alias("preview"))
 

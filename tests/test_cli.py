@@ -20,6 +20,12 @@ def test_extract_dedup_evaluate(spark, tmp_path):
     (tmp_path / "j" / "x.jsonl").write_text("\n".join(map(json.dumps, rows)))
     cli.deduplicate(spark, argparse.Namespace(input=str(tmp_path / "j"), output=str(tmp_path / "dd"), settle_seconds=-60))
     assert [spark.read.schema("id string").json(str(tmp_path / "dd" / k)).count() for k in ("kept", "exact_duplicates", "near_duplicates")] == [2, 1, 0]
+    kept = spark.read.text(str(tmp_path / "dd" / "kept")).collect()
+    assert {r["value"] for r in kept} == {json.dumps(rows[0]), json.dumps(rows[2])} and {r["file"] for r in kept} == {"x.jsonl"}
+
+
+def test_side_by_side():
+    assert cli.side_by_side("t", "a b c", "a", 3) == "\nt\nby hand | extracted\na b | a\nc   | "
 
 
 def test_diff_text():
