@@ -54,31 +54,29 @@ def materialize(df: DataFrame, name: str, with_path: bool = False) -> DataFrame
     out = spark.read.schema(df.schema).parquet(path)
     if with_path:
         return out, path
-    _leftover(spark).append(path)
+    _leave(spark, path)
     return out
 
 
-_left: dict[int, list[str]] = {}
+_left: list[tuple[object, object]] = []
 
 
-def _leftover(spark: SparkSession) -> list[str]:
-    """Scratch tables that a returned frame may still read; dropped by ``release`` or when Python ends."""
-    key = id(spark.sparkContext)
-    if key not in _left:
-        _left[key] = []
-        atexit.register(release, spark)
-    return _left[key]
+def _leave(spark: SparkSession, path: str) -> None:
+    """Note a scratch table that a returned frame may still read; ``release`` drops it, at the latest when Python ends."""
+    if not _left:
+        atexit.register(release)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _left.append((p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p))  # these outlive the Spark context
 
 
-def release(spark: SparkSession) -> None:
-    """Drop the session's scratch tables; frames that were made from them can no longer be read."""
-    paths = _left.get(id(spark.sparkContext), [])
-    try:
-        while paths:
-            drop_path(spark, paths[-1])
-            paths.pop()
-    except Exception:  # noqa: BLE001 - at exit the JVM may be gone
-        pass
+def release() -> None:
+    """Drop the scratch tables of this process; frames that were made from them can no longer be read."""
+    while _left:
+        fs, p = _left.pop()
+        try:
+            fs.delete(p, True)
+        except Exception:  # noqa: BLE001 - the JVM is gone
+            _left.clear()
 
 
 class Scratch:
