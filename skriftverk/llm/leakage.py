@@ -13,7 +13,7 @@
 
 A run of ``run`` words holds a whole window at one of the places that are searched (every ``run - window + 1`` words, and
 each place for items shorter than ``run``), and equal windows have cosine 1, so no leak is lost in step 3; rows come from these
-candidates alone.
+candidates alone, but which pairs pass is settled by the words.
 
 The items are an evaluation set of bounded size: more than ``max_words`` words in all raise an error. Items of fewer than
 ``shortest`` words, null and blank texts are ignored. Repeated items are each reported.
@@ -248,7 +248,9 @@ def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col
                 c = np.repeat(c, reps)
                 d_, j_, p_, q_ = doc_of[z], items.owner[c], at[z], items.at[c]
                 _, one = np.unique(np.stack([j_, d_, p_ - q_]), axis=1, return_index=True)  # each diagonal of a pair that has a candidate
-                for d, j, p, q in np.stack([d_, j_, p_, q_])[:, one].T.tolist():
+                same = np.flatnonzero((w[z] == items.windows[c]).all(axis=1))  # a run holds a candidate window that is equal word by word
+                _, run_at = np.unique(np.stack([j_[same], d_[same], p_[same] - q_[same]]), axis=1, return_index=True)
+                for d, j, p, q in np.stack([d_, j_, p_, q_])[:, same[run_at]].T.tolist():
                     run_check(out, docs_ids[d], d, j, p, q)
                 if paraphrases and len(z):
                     for part in np.split(one, np.flatnonzero(np.diff(j_[one])) + 1):
@@ -263,7 +265,7 @@ def leaks(docs: DataFrame, items_df: DataFrame, id_col: str = "doc_id", text_col
             )
 
     def run_check(out: dict, doc: np.ndarray, d: int, j: int, p: int, q: int) -> None:
-        """The longest common run on the diagonal of a candidate."""
+        """The longest common run on the diagonal of an equal candidate."""
         _, item, need = items.items[j]
         lo, hi = min(p, q), min(len(doc) - p, len(item) - q)
         eq = doc[p - lo : p + hi] == item[q - lo : q + hi]
