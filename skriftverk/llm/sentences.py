@@ -96,7 +96,7 @@ def wrap_width(lines: list[tuple[int, int]]) -> int:
 
     A line is full for a width if the next line's first word would not have fitted, give or take two characters. Of all the lengths
     that occur, the width is the greatest for which nearly as many lines are full as for any; lines beyond it (a table row, an
-    address) do not change it. A text counts as wrapped if its full lines are two or more and a quarter of all, and lines of that width or
+    address) do not change it. A text counts as wrapped if its full lines are a quarter of all or more, and lines of that width or
     less hold half of it.
     """
     if len(lines) < 2:
@@ -109,7 +109,7 @@ def wrap_width(lines: list[tuple[int, int]]) -> int:
     most = int(full.max())
     best = int(np.flatnonzero(full >= 0.6 * most)[-1])
     within = size[size <= widths[best]].sum() * 2 >= size.sum()
-    return int(widths[best]) if most >= max(2, len(lines) / 4) and within else 0
+    return int(widths[best]) if most >= max(1, len(lines) / 4) and within else 0
 
 
 def marked_breaks(text: str) -> str:
